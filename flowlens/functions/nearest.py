@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 def nearest_center(vector: Column, centers: list[list[float]]) -> Column:
     """struct<prediction, distance>: id of and Euclidean distance to the nearest centre.
 
-    Equal distances go to the lowest id. Only the vector column travels to the Arrow
+    Equal distances go to the lowest id. The function is declared non-deterministic so that
+    Spark never copies it into a pushed-down filter and evaluates it twice; filter on keys
+    before the assignment. Only the vector column travels to the Arrow
     worker; each batch is a few array operations per centre. Written with higher-order
     functions or unrolled column arithmetic the same step is eight times slower or worse
     (see the README), because neither is compiled to a tight loop.
@@ -30,4 +32,4 @@ def nearest_center(vector: Column, centers: list[list[float]]) -> Column:
         return pa.StructArray.from_arrays(
             [pa.array(label), pa.array(np.sqrt(best))], names=["prediction", "distance"])
 
-    return nearest(vector)
+    return nearest.asNondeterministic()(vector)

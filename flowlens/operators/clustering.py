@@ -4,7 +4,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -46,7 +46,14 @@ def fit_clusters(table: DataFrame, k: int, column: str = "normalizedFeatures",
     and norms in memory (spilling to disk) for the iterations, and an executor lost on the
     way costs a re-read of its files, not the whole preparation.
     """
-    vectors = table.select(array_to_vector(F.col(column)).alias("vector"))
+    return _fit(_vectors(table, column), k, seed, max_iter, init_steps)
+
+
+def _vectors(table: DataFrame, column: str) -> DataFrame:
+    return table.select(array_to_vector(F.col(column)).alias("vector"))
+
+
+def _fit(vectors: DataFrame, k: int, seed: int, max_iter: int, init_steps: int) -> Clusters:
     model = KMeans(featuresCol="vector", k=k, seed=seed, maxIter=max_iter,
                    initSteps=init_steps).fit(vectors)
     centers = [[float(v) for v in c] for c in model.clusterCenters()]
@@ -97,20 +104,27 @@ def clustering_cost(assigned: DataFrame) -> DataFrame:
 
 def elbow_curve(table: DataFrame, ks: Iterable[int] = range(2, 61),
                 column: str = "features", seed: int = SEED, max_iter: int = 20,
-                init_steps: int = 5, parallelism: int = 1) -> DataFrame:
+                init_steps: int = 5, parallelism: int = 4) -> DataFrame:
     """Cost per number of clusters, as rows (k, cost).
 
     The default column holds the raw counters; pass ``normalizedFeatures`` for a curve on
     the scale that training uses. Fits are independent: ``parallelism`` runs several at a
-    time, which fills the cluster while another fit waits for its last tasks.
+    time, which fills the cluster while another fit waits for its last tasks. All fits
+    share one persisted copy of the vectors, in memory or on disk; partitions lost with an
+    executor are read again from the stored table.
     """
     ks = list(ks)
+    vectors = _vectors(table, column).persist(StorageLevel.MEMORY_AND_DISK)
 
+    @inheritable_thread_target(table.sparkSession)
     def cost(k: int) -> float:
-        return fit_clusters(table, k, column, seed, max_iter, init_steps).cost
+        return _fit(vectors, k, seed, max_iter, init_steps).cost
 
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-        costs = list(pool.map(inheritable_thread_target(cost), ks))
+    try:
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            costs = list(pool.map(cost, ks))
+    finally:
+        vectors.unpersist()
     return table.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, cost double")
 
 

@@ -29,19 +29,29 @@ def fill_counters(table: DataFrame) -> DataFrame:
     return table.na.fill(0, FEATURES)
 
 
-def counters() -> list[Column]:
-    """The aggregates, in feature order."""
+# The columns that the counters after the distinct counts are made from.
+MEASURES = ["protocol_name", *VOLUME_SUMS.values(), "netflow_flow_end_reason",
+            *EXPORTER_SUMS.values()]
+SRC_PORT, DST_PORT = 1, 2
+
+
+def port_rows(events: DataFrame, *keep: str) -> DataFrame:
+    """Two rows per event: (kind, port) of either port. Only the first has the measures."""
+    ports = F.array(
+        F.struct(F.lit(SRC_PORT).alias("kind"),
+                 F.col("src_port").cast("bigint").alias("port")),
+        F.struct(F.lit(DST_PORT).alias("kind"),
+                 F.col("dst_port").cast("bigint").alias("port")))
+    exploded = events.withColumn("item", F.explode(ports))
+    return exploded.select(
+        *keep, "item.kind", "item.port",
+        *[F.when(F.col("item.kind") == SRC_PORT, F.col(c)).alias(c) for c in MEASURES])
+
+
+def counters_by_port() -> list[Column]:
+    """Aggregates of the port rows per (group, kind, port)."""
     return [
         F.count(F.lit(1)).alias("n_events"),
-        F.count_distinct("src_port").alias("n_src_port"),
-        F.count_distinct("dst_port").alias("n_dst_port"),
-        *additive_counters(),
-    ]
-
-
-def additive_counters() -> list[Column]:
-    """The counters after the two distinct counts; partial results add up."""
-    return [
         *[F.count(F.when(F.col("protocol_name") == value, 1)).alias(name)
           for name, value in PROTOCOL_COUNTS.items()],
         *[F.sum(column).alias(name) for name, column in VOLUME_SUMS.items()],
@@ -51,6 +61,19 @@ def additive_counters() -> list[Column]:
     ]
 
 
+def counters() -> list[Column]:
+    """Aggregates per group of what ``counters_by_port`` gives: the twenty counters."""
+    def ports(kind: int) -> Column:
+        return F.count(F.when(F.col("kind") == kind, F.col("port")))
+
+    special = {
+        "n_events": F.sum(F.when(F.col("kind") == SRC_PORT, F.col("n_events"))),
+        "n_src_port": ports(SRC_PORT),
+        "n_dst_port": ports(DST_PORT),
+    }
+    return [special.get(c, F.sum(c)).alias(c) for c in FEATURES]
+
+
 def segment_text(slot: Column, bucket_seconds: int) -> Column:
     """Start of the n-th bucket of a day as ``HH:mm:00``."""
     minutes = slot * (bucket_seconds // 60)
@@ -64,19 +87,22 @@ def connection_features(events: DataFrame, bucket_seconds: int = 300,
     """One row per (src_ip, dst_ip, bucket): five keys and twenty counters.
 
     Buckets follow the event time ``end_time``; day and bucket number are group keys, so
-    no aggregate over text is needed and the whole aggregation stays a hash aggregate.
-    Rows with an unreadable time keep a bucket of their own (null day).
+    no aggregate over text is needed and both aggregates are hash aggregates. Rows with an
+    unreadable time keep a bucket of their own (null day).
 
     With ``segment`` all events count as one interval with that label: one row per
     address pair, dated by its latest event.
 
-    The two distinct counts make Spark regroup on (keys, port) first: a pair that holds
-    most of all events is spread over its ports, and meets in one task only as one
-    partial row per upstream task.
+    The distinct port counts are made by grouping twice: by (group, kind, port), then by
+    group. A pair that holds most of all events is spread over its ports in the first
+    shuffle; in the second it arrives as one combined row per task. Spark's own plan for
+    two distinct counts does the same with three rows per event instead of two and every
+    aggregate on each of them, and took half as long again.
     """
     check_bucket(bucket_seconds)
     events = with_raw_columns(events).withColumn(
         "event_time", F.expr("try_cast(end_time AS TIMESTAMP_NTZ)"))
+    pair = ["src_ip", "dst_ip"]
     if segment is None:
         second = (F.hour("event_time") * 3600 + F.minute("event_time") * 60
                   + F.second("event_time"))
@@ -84,11 +110,17 @@ def connection_features(events: DataFrame, bucket_seconds: int = 300,
             "day": F.to_date("event_time"),
             "slot": F.floor(second / bucket_seconds).cast("int"),
         })
-        grouped = events.groupBy("src_ip", "dst_ip", "day", "slot").agg(*counters())
+        group = [*pair, "day", "slot"]
+        by_port = (port_rows(events, *group)
+                   .groupBy(*group, "kind", "port").agg(*counters_by_port()))
+        grouped = by_port.groupBy(*group).agg(*counters())
         label = segment_text(F.col("slot"), bucket_seconds)
     else:
-        latest = F.to_date(F.max("event_time")).alias("day")
-        grouped = events.groupBy("src_ip", "dst_ip").agg(latest, *counters())
+        by_port = (port_rows(events, *pair, "event_time")
+                   .groupBy(*pair, "kind", "port")
+                   .agg(F.max("event_time").alias("latest"), *counters_by_port()))
+        grouped = by_port.groupBy(*pair).agg(
+            F.to_date(F.max("latest")).alias("day"), *counters())
         label = F.lit(segment)
     named = grouped.withColumns({
         "tsegm_inittime": label,

@@ -10,7 +10,7 @@ from flowlens.sinks.tables import write_small_table, write_table
 
 
 def snapshot_and_sweep(table: DataFrame, root: str, ks: Iterable[int] = range(2, 61),
-                       scaled: bool = False, parallelism: int = 1,
+                       scaled: bool = False, parallelism: int = 4,
                        mode: str = "errorifexists") -> DataFrame:
     """Store the training set, its scaler and the (k, cost) points; return the points."""
     root = root.rstrip("/")

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.operators.connections import (
-    additive_counters, check_bucket, fill_counters, with_raw_columns,
+    check_bucket, counters, counters_by_port, fill_counters, port_rows, with_raw_columns,
 )
 from flowlens.schemas import FEATURES, KEYS
 
@@ -15,42 +15,19 @@ def windowed_features(events: DataFrame, bucket_seconds: int = 300,
                       delay: str = "10 minutes") -> DataFrame:
     """One row per (src_ip, dst_ip, window) once the watermark has passed the window.
 
-    A streaming aggregate cannot count distinct values. Holding a port set per pair would
-    keep a busy pair's whole set in one state row, so the count takes two aggregates: each
-    event becomes one row with its measures and one row per port, grouped first by
-    (window, pair, port kind, port), then by (window, pair). State and work of a busy pair
-    are spread over its ports. Use append mode. Rows without a readable time are dropped by
-    the watermark.
+    The same two aggregates as for stored events. A streaming aggregate cannot count
+    distinct values, and holding a port set per pair would keep a busy pair's whole set in
+    one state row; here state and work of a busy pair are spread over its ports. Use append
+    mode. Rows without a readable time are dropped by the watermark.
     """
     check_bucket(bucket_seconds)
-    ports = F.array(
-        F.struct(F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("port")),
-        F.struct(F.lit(1).alias("kind"), F.col("src_port").alias("port")),
-        F.struct(F.lit(2).alias("kind"), F.col("dst_port").alias("port")),
-    )
-    events = with_raw_columns(events)
-    measures = [c for c in events.columns
-                if c.startswith("netflow_") or c == "protocol_name"]
-    timed = (events
-             .withColumn("event_time",
-                         F.expr("try_cast(try_cast(end_time AS TIMESTAMP_NTZ) AS TIMESTAMP)"))
-             .withWatermark("event_time", delay)
-             .withColumn("item", F.explode(ports))
-             .where((F.col("item.kind") == 0) | F.col("item.port").isNotNull())
-             .select("event_time", *PAIR, "item.kind", "item.port",
-                     *[F.when(F.col("item.kind") == 0, F.col(c)).alias(c) for c in measures]))
-    by_port = (timed
-               .groupBy(F.window("event_time", f"{bucket_seconds} seconds").alias("window"),
-                        *PAIR, "kind", "port")
-               .agg(F.count(F.lit(1)).alias("n"), *additive_counters()))
-    summed = [c for c in FEATURES if c not in ("n_events", "n_src_port", "n_dst_port")]
-    grouped = (by_port
-               .groupBy("window", *PAIR)
-               .agg(F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("n_events"),
-                    F.count(F.when(F.col("kind") == 1, 1)).alias("n_src_port"),
-                    F.count(F.when(F.col("kind") == 2, 1)).alias("n_dst_port"),
-                    *[F.sum(c).alias(c) for c in summed]))
-    named = grouped.withColumns({
+    event_time = F.expr("try_cast(try_cast(end_time AS TIMESTAMP_NTZ) AS TIMESTAMP)")
+    timed = (with_raw_columns(events).withColumn("event_time", event_time)
+             .withWatermark("event_time", delay))
+    window = F.window("event_time", f"{bucket_seconds} seconds").alias("window")
+    by_port = (port_rows(timed, "event_time", *PAIR)
+               .groupBy(window, *PAIR, "kind", "port").agg(*counters_by_port()))
+    named = by_port.groupBy("window", *PAIR).agg(*counters()).withColumns({
         "day": F.to_date("window.start"),
         "tsegm_inittime": F.date_format("window.start", "HH:mm:00"),
         "week_day": F.date_format("window.start", "E"),

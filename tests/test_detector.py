@@ -1,0 +1,157 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowlens.catalog.flows import flows
+from flowlens.operators.connections import connection_features
+from flowlens.operators.detector import Detector, anomaly_documents
+from flowlens.operators.scaling import Scaler
+from flowlens.plans.elbow import snapshot_and_sweep
+from flowlens.plans.evaluation import score_labelled
+from flowlens.plans.history import score_history
+from flowlens.plans.learning import detector_path, train
+from flowlens.schemas import ANOMALY_COLUMNS, DOCUMENT_FIELDS, LABELS
+from flowlens.sinks.documents import http_sender, send_documents
+from flowlens.sinks.tables import append_features, write_table
+from flowlens.sources.tables import read_anomalies, read_features
+from test_model import feature_rows
+
+# Distance is |n_events|: one centre at 0, the other far away and without a boundary.
+PLAIN = Scaler((0.0, 0.0, *[1.0] * 18), (1.0, 0.0, *[1.0] * 18))
+DETECTOR = Detector(PLAIN, [[0.0] * 20, [100.0, *[0.0] * 19]], {0: 3.0})
+
+
+def test_anomaly_is_strictly_outside(spark):
+    rows = DETECTOR.outliers(feature_rows(spark, [2, 3, 4])).collect()
+    assert [(r.distance, r.probability) for r in rows] == [(4.0, 0.25)]
+
+
+def test_cluster_without_boundary(spark):
+    table = feature_rows(spark, [4, 90])
+    assert [r.src_ip for r in DETECTOR.outliers(table).collect()] == ["s0000"]
+    flags = {r.src_ip: (r.boundary, r.pred_anom) for r in DETECTOR.flags(table).collect()}
+    assert flags == {"s0000": (3.0, True), "s0001": (None, False)}
+
+
+def test_records(spark):
+    table = feature_rows(spark, [4, 5]).withColumn("day", F.lit("2024-01-02").cast("date"))
+    first, again = (DETECTOR.anomalies(table).orderBy("src_ip").collect() for _ in range(2))
+    assert first == again and len({r.id for r in first}) == 2
+    row = first[0]
+    assert list(row.asDict()) == ANOMALY_COLUMNS
+    assert (row.type, row.timestamp, row.day) == ("KMEANS_BASE", "2024-01-02 00:00:00",
+                                                  "2024-01-02")
+    assert row.features.startswith("[4.0,16.0,1.0,") and row.features.endswith(",1.0]")
+    assert 0 <= row.src_port < 91234 and 0 <= row.dst_port < 91234 and 0 <= row.protocol < 25
+
+
+def test_documents_quote_everything(spark):
+    table = feature_rows(spark, [4]).withColumn("src_ip", F.lit('a"?b'))
+    row = anomaly_documents(DETECTOR.anomalies(table)).first()
+    parsed = json.loads(row.document)
+    assert len(parsed) == 1 and list(parsed[0]) == DOCUMENT_FIELDS
+    assert parsed[0]["src_ip"] == 'a"?b' and parsed[0]["probability"] == "0.25"
+    assert parsed[0]["id"] == row.id and all(isinstance(v, str) for v in parsed[0].values())
+
+
+def test_send_documents(spark, tmp_path):
+    folder = str(tmp_path)
+
+    def send(batch):
+        import os
+        import uuid
+        with open(os.path.join(folder, uuid.uuid4().hex), "w") as out:
+            out.write("\n".join(batch))
+
+    documents = spark.range(25).select(F.format_string("[{%d}]", "id").alias("document"))
+    send_documents(documents.repartition(3), send, batch_size=4)
+    batches = [f.read_text().split("\n") for f in tmp_path.iterdir()]
+    assert max(map(len, batches)) == 4
+    assert sorted(sum(batches, [])) == sorted(f"[{{{i}}}]" for i in range(25))
+
+
+def test_http_sender_posts_one_array(monkeypatch):
+    posted = []
+
+    class Response:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            return False
+
+        def read(self):
+            return b""
+
+    def urlopen(request, timeout):
+        posted.append((request.full_url, request.get_method(), request.headers, request.data))
+        return Response()
+
+    monkeypatch.setattr("urllib.request.urlopen", urlopen)
+    http_sender("http://index.invalid/update")(['[{"id":"a"}]', '[{"id":"b"}]'])
+    url, method, headers, data = posted[0]
+    assert (url, method) == ("http://index.invalid/update", "POST")
+    assert headers["Content-type"] == "application/json"
+    assert json.loads(data) == [{"id": "a"}, {"id": "b"}]
+
+
+def test_train_saves_and_loads(spark, sf_dir, tmp_path):
+    table = write_table(connection_features(flows(spark, sf_dir), 86400),
+                        str(tmp_path / "training"))
+    root = str(tmp_path / "models")
+    trained = train(table, 3, 90, root, max_iter=5)
+    path = detector_path(root, 3, 90)
+    assert path.endswith("detector_k3_p90")
+    loaded = Detector.load(spark, path)
+    assert loaded == trained
+    assert spark.read.parquet(f"{path}/distances").count() == table.count()
+    with pytest.raises(Exception, match="(?i)already exists"):
+        train(table, 3, 90, root, max_iter=1)
+    train(table, 3, 90, root, mode="overwrite", max_iter=1)
+    share = loaded.outliers(table).count() / table.count()
+    assert 0.05 < share < 0.15
+
+
+def test_sweep_stores_its_results(spark, sf_dir, tmp_path):
+    root = str(tmp_path)
+    table = connection_features(flows(spark, sf_dir), 86400)
+    points = snapshot_and_sweep(table, root, range(2, 4), scaled=True)
+    assert spark.read.parquet(f"{root}/elbow_points").count() == points.count() == 2
+    assert spark.read.parquet(f"{root}/training_scaler").count() == 20
+    assert spark.read.parquet(f"{root}/training_set").count() == table.count()
+
+
+def test_history_rerun_replaces_its_load(spark, tmp_path):
+    table = feature_rows(spark, [4, 5, 1]).withColumn("day", F.lit("2024-01-02").cast("date"))
+    features, found, sent = (str(tmp_path / n) for n in ("features", "found", "sent"))
+    append_features(table, features)
+
+    def send(batch):
+        with open(sent, "a") as out:
+            out.writelines(t + "\n" for t in batch)
+
+    for _ in range(2):
+        score_history(spark, features, DETECTOR, "2024-01-01", "2024-01-03", found, "h", send)
+    assert read_anomalies(spark, found).count() == 2
+    ids = [json.loads(t)[0]["id"] for t in open(sent)]
+    assert len(ids) == 4 and len(set(ids)) == 2
+    score_history(spark, features, DETECTOR, "2024-01-03", "2024-01-03", found, "other")
+    assert read_anomalies(spark, found).count() == 2
+
+
+def test_append_without_id_appends(spark, tmp_path):
+    path = str(tmp_path / "features")
+    for _ in range(2):
+        append_features(feature_rows(spark, [1, 2]), path)
+    rows = read_features(spark, path).collect()
+    assert len(rows) == 4 and {r.day for r in rows} == {None}
+
+
+def test_labelled_scoring_columns(spark):
+    table = feature_rows(spark, [1, 4])
+    for label in LABELS:
+        table = table.withColumn(label, F.lit(label))
+    rows = score_labelled(table, DETECTOR).orderBy("src_ip").collect()
+    assert [r.pred_anom for r in rows] == [False, True]
+    assert list(rows[0].asDict())[-4:] == ["pred_anom", *LABELS]
