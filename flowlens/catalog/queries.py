@@ -26,7 +26,7 @@ from flowlens.sources.tables import (
 )
 from flowlens.streaming.capture import capture_features
 from flowlens.streaming.scoring import score_stream
-from flowlens.streaming.windowed import windowed_features
+from flowlens.streaming.windowed import capture_windows
 from flowlens.workspace import work_path
 
 DAY = 86400
@@ -325,9 +325,8 @@ def stream_features_windowed(spark, sf_dir):
               .parquet(sf_dir))
     events = flows_of(stream)
     table = work_path(spark, "windowed")
-    (windowed_features(events).writeStream.format("parquet").outputMode("append")
-     .option("path", table).option("checkpointLocation", work_path(spark, "checkpoint"))
-     .trigger(availableNow=True).start().awaitTermination())
+    capture_windows(events, table, work_path(spark, "checkpoint"),
+                    available_now=True).awaitTermination()
     return read_features(spark, table)
 
 

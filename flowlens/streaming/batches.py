@@ -1,35 +1,43 @@
-"""Run a function on every micro-batch of a stream of lines."""
+"""Run a function on every micro-batch of a stream."""
 
 import threading
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from flowlens.sources.lines import netflow_events
-
 INTERVAL = "300 seconds"
 
 
-def start_batches(lines: DataFrame, handle: Callable[[DataFrame, str], None], checkpoint: str,
+def start_batches(stream: DataFrame, handle: Callable[[DataFrame, str], None], checkpoint: str,
                   interval: str = INTERVAL, available_now: bool = False,
-                  strict: bool = False) -> StreamingQuery:
-    """Call ``handle(events, load_id)`` for each non-empty batch of flow events.
+                  stateful: bool = False) -> StreamingQuery:
+    """Call ``handle(rows, load_id)`` for each non-empty batch.
 
     ``load_id`` names the query and the batch. Spark keeps both in the checkpoint, so a
     batch that is replayed after a failure comes with the id it had before, and another
     stream never shares it.
+
+    A ``stateful`` stream's batch is persisted first, because testing and then writing it
+    would run its state updates twice.
     """
     started = threading.Event()
     query_id = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        if not batch.isEmpty():
-            handle(batch, f"{query_id[0]}-{batch_id}")
+        if stateful:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                handle(batch, f"{query_id[0]}-{batch_id}")
+        finally:
+            if stateful:
+                batch.unpersist()
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    query = (netflow_events(lines, strict).writeStream.foreachBatch(run)
+    query = (stream.writeStream.foreachBatch(run)
              .option("checkpointLocation", checkpoint).trigger(**trigger).start())
     query_id.append(query.id)
     started.set()

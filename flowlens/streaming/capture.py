@@ -7,12 +7,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.operators.connections import connection_features
 from flowlens.sinks.tables import append_features
+from flowlens.sources.lines import netflow_events
 from flowlens.streaming.batches import start_batches
 
 
 def capture_features(lines: DataFrame, table_path: str, checkpoint: str,
                      bucket_seconds: int = 300, segment: Callable[[], str] | None = None,
-                     **options) -> StreamingQuery:
+                     strict: bool = False, **options) -> StreamingQuery:
     """Summarise every micro-batch and append it to the day-partitioned table.
 
     ``segment`` labels a whole batch, e.g. by the wall clock, instead of splitting it by
@@ -22,4 +23,4 @@ def capture_features(lines: DataFrame, table_path: str, checkpoint: str,
         label = segment() if segment else None
         append_features(connection_features(events, bucket_seconds, label), table_path, load_id)
 
-    return start_batches(lines, handle, checkpoint, **options)
+    return start_batches(netflow_events(lines, strict), handle, checkpoint, **options)

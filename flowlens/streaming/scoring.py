@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowlens.operators.connections import connection_features
 from flowlens.operators.detector import Detector
 from flowlens.plans.history import store_anomalies
+from flowlens.sources.lines import netflow_events
 from flowlens.streaming.batches import start_batches
 
 
@@ -15,7 +16,8 @@ def score_stream(lines: DataFrame, detector: Detector | str, anomalies_path: str
                  checkpoint: str, bucket_seconds: int = 300,
                  segment: Callable[[], str] | None = None,
                  send: Callable[[list[str]], None] | None = None,
-                 refresh_each_batch: bool = False, **options) -> StreamingQuery:
+                 refresh_each_batch: bool = False, strict: bool = False,
+                 **options) -> StreamingQuery:
     """Score every micro-batch and store its anomalies.
 
     ``detector`` may be a path; it is loaded once, or with ``refresh_each_batch`` before
@@ -32,4 +34,4 @@ def score_stream(lines: DataFrame, detector: Detector | str, anomalies_path: str
         features = connection_features(events, bucket_seconds, label)
         store_anomalies(current.anomalies(features), anomalies_path, load_id, send)
 
-    return start_batches(lines, handle, checkpoint, **options)
+    return start_batches(netflow_events(lines, strict), handle, checkpoint, **options)

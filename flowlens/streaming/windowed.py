@@ -1,14 +1,21 @@
 """Connection features as a stateful stream, independent of micro-batch limits."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.operators.connections import (
     check_bucket, counters, counters_by_port, fill_counters, port_rows, with_raw_columns,
 )
 from flowlens.schemas import FEATURES, KEYS
+from flowlens.sinks.tables import append_features
+from flowlens.streaming.batches import start_batches
 
 PAIR = ["src_ip", "dst_ip"]
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def windowed_features(events: DataFrame, bucket_seconds: int = 300,
@@ -33,3 +40,37 @@ def windowed_features(events: DataFrame, bucket_seconds: int = 300,
         "week_day": F.date_format("window.start", "E"),
     })
     return fill_counters(named.select(*KEYS, *FEATURES))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Set session values for a moment; a stream copies them when it starts."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def capture_windows(events: DataFrame, table_path: str, checkpoint: str,
+                    bucket_seconds: int = 300, delay: str = "10 minutes",
+                    state_partitions: int | None = None, **options) -> StreamingQuery:
+    """Append every closed window to the day-partitioned table, once and complete.
+
+    ``state_partitions`` (default: the session's parallelism) is fixed by a checkpoint's
+    first start, so choose it for the load to come. State lives in RocksDB on the
+    executors' disks, not in their heap, and is saved to the checkpoint.
+    """
+    spark = events.sparkSession
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    with _settings(spark, {"spark.sql.shuffle.partitions": str(partitions),
+                           "spark.sql.streaming.stateStore.providerClass": STATE_STORE}):
+        return start_batches(windowed_features(events, bucket_seconds, delay),
+                             lambda rows, load_id: append_features(rows, table_path, load_id),
+                             checkpoint, stateful=True, **options)

@@ -9,7 +9,7 @@ from flowlens.sources.lines import file_lines, netflow_events
 from flowlens.sources.tables import read_anomalies, read_features
 from flowlens.streaming.capture import capture_features
 from flowlens.streaming.scoring import score_stream
-from flowlens.streaming.windowed import windowed_features
+from flowlens.streaming.windowed import capture_windows
 from test_detector import PLAIN
 
 LINE = ('{{"sensor_type":"netflow","src_ip":"{src}","dst_ip":"d","end_time":"{time}",'
@@ -128,9 +128,8 @@ def test_refresh_needs_a_path(spark, tmp_path):
 
 def windowed(spark, source, table, checkpoint, **options):
     events = netflow_events(file_lines(spark, str(source), stream=True, **options))
-    run(lambda: windowed_features(events, delay="20 minutes").writeStream.format("parquet")
-        .option("path", table).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start())
+    run(lambda: capture_windows(events, table, checkpoint, delay="20 minutes",
+                                available_now=True))
 
 
 def test_windows_join_events_of_several_batches(spark, tmp_path):
