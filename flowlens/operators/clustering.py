@@ -91,8 +91,8 @@ def refine_centers(table: DataFrame, centers: list[list[float]], steps: int,
         width = len(centers[0])
         means = (assign(table.select(column), centers, column)
                  .groupBy("prediction")
-                 .agg(*[F.avg(F.col(column)[i]).alias(str(i)) for i in range(width)]))
-        moved = {r["prediction"]: [r[str(i)] for i in range(width)] for r in means.collect()}
+                 .agg(*[F.expr(f"avg({column}[{i}]) AS c{i}") for i in range(width)]))
+        moved = {r["prediction"]: [r[f"c{i}"] for i in range(width)] for r in means.collect()}
         centers = [moved.get(i, c) for i, c in enumerate(centers)]
     return centers
 

@@ -37,49 +37,41 @@ SRC_PORT, DST_PORT = 1, 2
 
 def port_rows(events: DataFrame, *keep: str) -> DataFrame:
     """Two rows per event: (kind, port) of either port. Only the first has the measures."""
-    ports = F.array(
-        F.struct(F.lit(SRC_PORT).alias("kind"),
-                 F.col("src_port").cast("bigint").alias("port")),
-        F.struct(F.lit(DST_PORT).alias("kind"),
-                 F.col("dst_port").cast("bigint").alias("port")))
-    exploded = events.withColumn("item", F.explode(ports))
-    return exploded.select(
+    ports = (f"array(struct({SRC_PORT} AS kind, CAST(src_port AS BIGINT) AS port),"
+             f" struct({DST_PORT} AS kind, CAST(dst_port AS BIGINT) AS port))")
+    return events.withColumn("item", F.explode(F.expr(ports))).selectExpr(
         *keep, "item.kind", "item.port",
-        *[F.when(F.col("item.kind") == SRC_PORT, F.col(c)).alias(c) for c in MEASURES])
+        *[f"CASE WHEN item.kind = {SRC_PORT} THEN {c} END AS {c}" for c in MEASURES])
 
 
 def counters_by_port() -> list[Column]:
     """Aggregates of the port rows per (group, kind, port)."""
-    return [
-        F.count(F.lit(1)).alias("n_events"),
-        *[F.count(F.when(F.col("protocol_name") == value, 1)).alias(name)
+    return [F.expr(text) for text in [
+        "count(1) AS n_events",
+        *[f"count(CASE WHEN protocol_name = '{value}' THEN 1 END) AS {name}"
           for name, value in PROTOCOL_COUNTS.items()],
-        *[F.sum(column).alias(name) for name, column in VOLUME_SUMS.items()],
-        *[F.count(F.when(F.col("netflow_flow_end_reason") == value, 1)).alias(name)
+        *[f"sum({column}) AS {name}" for name, column in VOLUME_SUMS.items()],
+        *[f"count(CASE WHEN netflow_flow_end_reason = {value} THEN 1 END) AS {name}"
           for name, value in END_REASON_COUNTS.items()],
-        *[F.sum(column).alias(name) for name, column in EXPORTER_SUMS.items()],
-    ]
+        *[f"sum({column}) AS {name}" for name, column in EXPORTER_SUMS.items()],
+    ]]
 
 
 def counters() -> list[Column]:
     """Aggregates per group of what ``counters_by_port`` gives: the twenty counters."""
-    def ports(kind: int) -> Column:
-        return F.count(F.when(F.col("kind") == kind, F.col("port")))
-
     special = {
-        "n_events": F.sum(F.when(F.col("kind") == SRC_PORT, F.col("n_events"))),
-        "n_src_port": ports(SRC_PORT),
-        "n_dst_port": ports(DST_PORT),
+        "n_events": f"sum(CASE WHEN kind = {SRC_PORT} THEN n_events END)",
+        "n_src_port": f"count(CASE WHEN kind = {SRC_PORT} THEN port END)",
+        "n_dst_port": f"count(CASE WHEN kind = {DST_PORT} THEN port END)",
     }
-    return [special.get(c, F.sum(c)).alias(c) for c in FEATURES]
+    return [F.expr(f"{special.get(c, f'sum({c})')} AS {c}") for c in FEATURES]
 
 
-def segment_text(slot: Column, bucket_seconds: int) -> Column:
+def segment_text(slot: str, bucket_seconds: int) -> Column:
     """Start of the n-th bucket of a day as ``HH:mm:00``."""
-    minutes = slot * (bucket_seconds // 60)
-    hour = F.lpad(F.floor(minutes / 60).cast("string"), 2, "0")
-    minute = F.lpad((minutes % 60).cast("string"), 2, "0")
-    return F.concat(hour, F.lit(":"), minute, F.lit(":00"))
+    minutes = f"{slot} * {bucket_seconds // 60}"
+    return F.expr(f"concat(lpad(CAST({minutes} DIV 60 AS STRING), 2, '0'), ':',"
+                  f" lpad(CAST({minutes} % 60 AS STRING), 2, '0'), ':00')")
 
 
 def connection_features(events: DataFrame, bucket_seconds: int = 300,
@@ -104,17 +96,16 @@ def connection_features(events: DataFrame, bucket_seconds: int = 300,
         "event_time", F.expr("try_cast(end_time AS TIMESTAMP_NTZ)"))
     pair = ["src_ip", "dst_ip"]
     if segment is None:
-        second = (F.hour("event_time") * 3600 + F.minute("event_time") * 60
-                  + F.second("event_time"))
+        second = "hour(event_time) * 3600 + minute(event_time) * 60 + second(event_time)"
         events = events.withColumns({
             "day": F.to_date("event_time"),
-            "slot": F.floor(second / bucket_seconds).cast("int"),
+            "slot": F.expr(f"CAST(({second}) DIV {bucket_seconds} AS INT)"),
         })
         group = [*pair, "day", "slot"]
         by_port = (port_rows(events, *group)
                    .groupBy(*group, "kind", "port").agg(*counters_by_port()))
         grouped = by_port.groupBy(*group).agg(*counters())
-        label = segment_text(F.col("slot"), bucket_seconds)
+        label = segment_text("slot", bucket_seconds)
     else:
         by_port = (port_rows(events, *pair, "event_time")
                    .groupBy(*pair, "kind", "port")

@@ -27,9 +27,9 @@ class Scaler:
 
 def fit_scaler(table: DataFrame) -> Scaler:
     """One pass, one row to the driver. A single row has standard deviation 0."""
-    row = table.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in FEATURES],
-        *[F.stddev_samp(c).alias(f"std_{c}") for c in FEATURES],
+    row = table.selectExpr(
+        *[f"avg({c}) AS mean_{c}" for c in FEATURES],
+        *[f"stddev_samp({c}) AS std_{c}" for c in FEATURES],
     ).first()
     if row[f"mean_{FEATURES[0]}"] is None:
         raise ValueError("cannot fit a scaler on an empty table")
@@ -37,8 +37,12 @@ def fit_scaler(table: DataFrame) -> Scaler:
                   tuple(row[f"std_{c}"] or 0.0 for c in FEATURES))
 
 
+def _as_double(counter: str) -> str:
+    return f"coalesce(CAST({counter} AS DOUBLE), 0D)"
+
+
 def feature_array() -> Column:
-    return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES])
+    return F.expr("array(" + ", ".join(map(_as_double, FEATURES)) + ")")
 
 
 def with_features(table: DataFrame) -> DataFrame:
@@ -48,11 +52,10 @@ def with_features(table: DataFrame) -> DataFrame:
 
 def standardized_array(scaler: Scaler) -> Column:
     """z-scores; a counter that never varied becomes 0."""
-    return F.array(*[
-        F.lit(0.0) if std == 0.0
-        else (F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.lit(mean)) / F.lit(std)
-        for c, mean, std in zip(FEATURES, scaler.mean, scaler.std)
-    ])
+    scores = ["0D" if std == 0.0
+              else f"({_as_double(c)} - ({float(mean)!r}D)) / {float(std)!r}D"
+              for c, mean, std in zip(FEATURES, scaler.mean, scaler.std)]
+    return F.expr("array(" + ", ".join(scores) + ")")
 
 
 def standardize(table: DataFrame, scaler: Scaler) -> DataFrame:

@@ -80,7 +80,7 @@ def test_buckets_split_and_segment_joins(spark):
 
 
 def test_segment_labels(spark):
-    labels = spark.range(0, 288).select(segment_text(F.col("id"), 300).alias("s")).collect()
+    labels = spark.range(0, 288).select(segment_text("id", 300).alias("s")).collect()
     assert labels[0].s == "00:00:00" and labels[13].s == "01:05:00" and labels[287].s == "23:55:00"
 
 

@@ -39,6 +39,12 @@ def test_scaler_and_zero_deviation(spark):
     assert z[1][2:] == [0.0] * 18
 
 
+def test_standardize_with_extreme_numbers(spark):
+    scaler = Scaler((-1.5e-7, 2.5e21, *[0.0] * 18), (1e-9, 3e20, *[0.0] * 18))
+    z = standardize(feature_rows(spark, [2]), scaler).first().normalizedFeatures
+    assert z[:2] == [(2 + 1.5e-7) / 1e-9, (4 - 2.5e21) / 3e20]
+
+
 def test_scaler_of_one_row_and_none(spark):
     assert fit_scaler(feature_rows(spark, [4])).std == (0.0,) * 20
     with pytest.raises(ValueError):
