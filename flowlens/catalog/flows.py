@@ -14,8 +14,8 @@ FLOW_COLUMNS = {
     "dst_ip": "concat('192.168.0.', cast(event_id % 4 as {S}))",
     "end_time": "{fmt}",
     "src_port": "1024 + (event_id * 7919) % 64000",
-    "dst_port": "case event_type when 'click' then 443 when 'view' then 80"
-                " when 'signup' then 53 else 22 end",
+    "dst_port": "cast(case event_type when 'click' then 443 when 'view' then 80"
+                " when 'signup' then 53 else 22 end as bigint)",
     "protocol_name": "case event_type when 'view' then 'UDP' when 'error' then 'ICMP'"
                      " when 'signup' then 'UNKNOWN' else 'TCP' end",
     "netflow_octet_count": "cast(round(value * 100) as bigint)",

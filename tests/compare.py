@@ -1,6 +1,5 @@
 """Compare registered queries with their SQL, as multisets of rows."""
 
-import math
 from collections import Counter
 from pathlib import Path
 
@@ -14,10 +13,13 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+         "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 9) + 0.0
-    return value
+    """Floats as text: both engines must give the same digits."""
+    return repr(value) if isinstance(value, float) else value
 
 
 def rows_of(names: list[str], rows) -> Counter:
@@ -28,12 +30,14 @@ def rows_of(names: list[str], rows) -> Counter:
 def difference(query, sql: str, spark, con, sf_dir: str) -> str | None:
     """None when both give the same rows, else a description."""
     table = query(spark, sf_dir)
+    types = {name: TYPES[t] for name, t in table.dtypes}
+    expected = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    if types != expected:
+        return f"columns {types} against {expected}"
     ours = rows_of(table.columns, table.collect())
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     theirs = rows_of(names, cursor.fetchall())
-    if sorted(names) != sorted(table.columns):
-        return f"columns {sorted(table.columns)} against {sorted(names)}"
     if ours != theirs:
         extra, missing = ours - theirs, theirs - ours
         return (f"{ours.total()} against {theirs.total()} rows; extra {extra.total()}:"
