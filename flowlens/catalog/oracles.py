@@ -14,6 +14,8 @@ KEY_LIST = ", ".join(KEYS)
 FEATURE_LIST = ", ".join(FEATURES)
 DAY, FIVE_MINUTES = "1 day", "5 minutes"
 SHARE = PERCENTILE / 100
+# DuckDB rounds a small negative number to -0.0, Spark to 0.0; adding 0 leaves one zero.
+SIGNED = "round({v}, 6) + 0"
 
 
 def with_steps(steps: list[tuple[str, str]], final: str) -> str:
@@ -169,7 +171,7 @@ def artifacts() -> str:
     rows = [f"SELECT '{part}' AS part, 0 AS id, {i}::INTEGER AS idx, round({p}_{c}, 6) AS value"
             f" FROM stats" for part, p in (("mean", "m"), ("std", "s"))
             for i, c in enumerate(FEATURES)]
-    rows.append(exploded("c", CENTERS, "round({v}, 6)", "'center' AS part, p::INTEGER AS id"))
+    rows.append(exploded("c", CENTERS, SIGNED, "'center' AS part, p::INTEGER AS id"))
     rows.append("SELECT 'boundary', prediction::INTEGER, 0, round(boundary, 6) FROM boundaries")
     return model(" UNION ALL ".join(rows))
 
@@ -185,7 +187,7 @@ CLOSED_WINDOWS = f"""HAVING {{start}} + INTERVAL '{FIVE_MINUTES}'
 
 DISTANCES = f"""SELECT {KEY_LIST}, prediction::INTEGER AS predictions,
     round(distance, 6) AS distances, (i - 1)::INTEGER AS idx, fv[i] AS value,
-    round(zv[i], 6) AS normalized
+    {SIGNED.format(v="zv[i]")} AS normalized
     FROM train_scored, range(1, {len(FEATURES) + 1}) r(i)"""
 
 BATCH = f"""SELECT src_ip, dst_ip, max(end_time::TIMESTAMP)::DATE AS day,
@@ -220,9 +222,9 @@ ORACLES: dict[str, str] = {
     "training_set_roundtrip": feature_query(DAY),
     "feature_vector": model(exploded("fv", "train_z", "{v}")),
     "scaler_stats": scaler_stats(),
-    "standardized_features": model(exploded("zv", "train_z", "round({v}, 6)")),
+    "standardized_features": model(exploded("zv", "train_z", SIGNED)),
     "cluster_fit_pinned": model(
-        exploded("c", CENTERS, "round({v}, 6)", "p::INTEGER AS prediction")),
+        exploded("c", CENTERS, SIGNED, "p::INTEGER AS prediction")),
     "nearest_center": model(
         f"SELECT {KEY_LIST}, prediction::INTEGER AS prediction FROM train_scored"),
     "center_distance": model(f"SELECT {KEY_LIST}, round(distance, 6) AS distance"
