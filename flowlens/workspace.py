@@ -1,25 +1,16 @@
 """Where intermediate tables go."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_folder = None
-
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder, removed when Python
-    ends. On a cluster the setting is required, since executors must all see the folder.
+    The setting is required: all executors must see the folder.
     """
-    global _local_folder
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_folder is None:
-            _local_folder = tempfile.TemporaryDirectory(prefix="flowlens-")
-        root = _local_folder.name
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/flowlens/{name}-{uuid.uuid4().hex}"
