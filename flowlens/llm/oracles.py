@@ -1,3 +1,47 @@
 """DuckDB SQL of the registered queries."""
 
-ORACLES: dict[str, str] = {}
+from flowlens.llm.url_fixture import DUCKDB, captures_sql, feed_sql
+
+HOST = ("regexp_replace(regexp_extract(lower(url),"
+        " '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '[.]+$', '')")
+PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+
+URL_FILTERS = f"""
+with captures as ({captures_sql('pages')}),
+parts as (
+  select distinct url, {HOST} as host, list_filter(string_split({PATH}, '/'), lambda s: s <> '') as segs
+  from pages where url is not null),
+names as (
+  select distinct host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain,
+    host || '/' || segs[1] as path from parts),
+feed as ({feed_sql('names', DUCKDB)}),
+entries as (
+  select list_name, pattern, listed_at, max(action) as action from feed group by all),
+intervals as (
+  select * from (
+    select list_name, pattern, action, listed_at as valid_from,
+      lead(listed_at) over (partition by list_name, pattern order by listed_at) as valid_to from entries)
+  where action = 'add'),
+keys as (
+  select url, unnest(list_distinct(list_concat(
+    list_transform(range(1, len(string_split(host, '.')) + 1),
+      lambda i: array_to_string(list_slice(string_split(host, '.'), i, -1), '.')),
+    list_transform(range(1, len(segs) + 1),
+      lambda i: host || '/' || array_to_string(list_slice(segs, 1, i), '/'))))) as pattern
+  from parts where host <> ''),
+active as (
+  select distinct c.url, c.fetched_at, i.list_name, i.pattern
+  from captures c join keys k on c.url = k.url
+  join intervals i on k.pattern = i.pattern and i.valid_from <= c.fetched_at
+    and (i.valid_to is null or c.fetched_at < i.valid_to)),
+verdicts as (
+  select url, fetched_at, string_agg(distinct list_name, ',' order by list_name) as lists,
+    count(*) as n, bool_or(list_name = 'allow') as allowed
+  from active group by all)
+select c.page_id, c.url, c.fetched_at, coalesce(v.lists, '') as lists,
+  cast(coalesce(v.n, 0) as bigint) as n_entries,
+  coalesce(not v.allowed, false) as blocked
+from captures c left join verdicts v on c.url = v.url and c.fetched_at = v.fetched_at
+"""
+
+ORACLES: dict[str, str] = {"op2_url_filters": URL_FILTERS}

@@ -7,17 +7,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm.decontamination import contamination
+from flowlens.llm.html_text import main_texts
+from flowlens.llm.language import fit, identify_rows
 from flowlens.llm.packing import pack
 from flowlens.llm.pii import TEST_KEY, pseudonymize_rows
 from flowlens.llm.quality import quality_rows
 from flowlens.llm.simhash import near_duplicates
+from flowlens.llm.substrings import repeated_spans
 from flowlens.llm.texts import hex64, table
+from flowlens.llm.url_fixture import SPARK, captures_sql, feed_sql
+from flowlens.llm.url_lists import filter_urls, host_of, path_of
 from flowlens.llm.warc import read_archive, write_archive
 from flowlens.workspace import work_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of every repeated passage."""
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = spark.sql(captures_sql("{pages}"), pages=pages)
+    host = host_of(F.col("url"))
+    segment = F.element_at(F.filter(F.split(path_of(F.col("url")), "/"), lambda x: x != ""), 1)
+    names = pages.select(
+        host.alias("host"), F.substring_index(host, ".", -2).alias("domain"),
+        F.concat(host, F.lit("/"), segment).alias("path")).distinct()
+    feed = spark.sql(feed_sql("{names}", SPARK), names=names)
+    return filter_urls(captures, feed)
+
+
 def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its pseudonymized text."""
     return pseudonymize_rows(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -58,11 +80,30 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned on three quarters of the documents, applied to all."""
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    model = fit(docs.where(part != 2))
+    return identify_rows(docs, model).select(
+        "doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"),
+        F.col("lang").alias("lang_pred"), "score", "rejected")
+
+
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages")).withColumn(
+        "n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": substring_dedup,
+    "op2_url_filters": url_filters,
     "op3_pseudonyms": pseudonyms,
     "op4_warc": warc,
     "op5_quality": quality_rules,
     "op6_packing": packing,
     "op7_simhash": simhash,
     "op8_decontamination": decontamination,
+    "op9_language": language,
+    "op10_html_text": html_text,
 }
