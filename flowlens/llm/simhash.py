@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.llm.components import connected_components
-from flowlens.llm.texts import once, stored, utf8
+from flowlens.llm.texts import once, stored, unused, utf8
 
 BITS = 64
 #: Variants that one task sorts at once (8 bytes each, some copies while sorting).
@@ -201,9 +201,7 @@ def keep_one_each(docs: DataFrame, max_bits: int = 4, shingle_words: int = 4,
     to meet the list of rows to keep on (fingerprint, doc_id), a key that no group of
     copies can make hot.
     """
-    mark = "fp"
-    while mark in docs.columns:
-        mark += "_"
+    mark = unused("fp", docs)
     whole = stored(docs.withColumn(mark, fingerprint(F.col("text"), shingle_words, seed)),
                    "fingerprinted")
     found = with_components(whole.select("doc_id", F.col(mark).alias("fp")), max_bits)

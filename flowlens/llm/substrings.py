@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowlens.llm.texts import stored, utf8
+from flowlens.llm.texts import stored, unused, utf8
 
 #: Bytes of a chunk: least, mean gap between places where one may end, most.
 LEAST, GAP, MOST = 20, 28, 256
@@ -137,10 +137,8 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs``, all rows and columns, without the extra ``spans`` of their texts."""
-    mark = "cuts"
-    while mark in docs.columns:
-        mark += "_"
-    cuts = spans.where("extra").groupBy(F.col("doc_id").alias("cut_id")).agg(
+    mark, key = unused("cuts", docs), unused("cut_id", docs)
+    cuts = spans.where("extra").groupBy(F.col("doc_id").alias(key)).agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias(mark))
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("upto"))
 
@@ -152,6 +150,6 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
     rest = F.aggregate(mark, start, keep, lambda s: F.concat(
         s["text"], F.substring(F.col("text"), s["upto"] + 1, F.length("text"))))
-    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts["cut_id"]), "left")
+    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts[key]), "left")
     return joined.withColumn("text", F.when(F.col(mark).isNull(), F.col("text")).otherwise(rest)
                              ).select(*docs.columns)

@@ -20,6 +20,14 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return write_table(rows, work_path(rows.sparkSession, name))
 
 
+def unused(name: str, table: DataFrame) -> str:
+    """``name``, lengthened until no column of ``table`` is called so."""
+    taken = {c.lower() for c in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(texts: pa.Array) -> list[bytes | None]:
     """The texts as bytes, without decoding them."""
     large = pa.types.is_large_string(texts.type)

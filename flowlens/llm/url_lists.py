@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowlens.llm.texts import unused
+
 #: Length of a time bucket, in the unit of the times (seconds here: 30 days).
 BUCKET = 30 * 86_400
 
@@ -96,15 +98,17 @@ def filter_urls(captures: DataFrame, feed: DataFrame, allow: str = "allow",
     capture is blocked if it has any and none is on the ``allow`` list. Without url, time
     or match: an empty text, zero, false. Columns of these names are replaced.
     """
-    names = F.array_sort(F.collect_set("list_name"))
-    verdicts = (active_lists(captures, feed, bucket).distinct().groupBy("url", "fetched_at")
-                .agg(names.alias("names"), F.count(F.lit(1)).alias("n"))
-                .withColumnsRenamed({"url": "at_url", "fetched_at": "at_time"}))
     rows = captures.drop("lists", "n_entries", "blocked")
-    joined = rows.join(verdicts, (rows["url"] == verdicts["at_url"])
-                       & (rows["fetched_at"] == verdicts["at_time"]), "left")
-    found = F.coalesce("names", F.array().cast("array<string>"))
+    at_url, at_time = unused("at_url", rows), unused("at_time", rows)
+    names, n = unused("names", rows), unused("n", rows)
+    verdicts = (active_lists(captures, feed, bucket).distinct().groupBy("url", "fetched_at")
+                .agg(F.array_sort(F.collect_set("list_name")).alias(names),
+                     F.count(F.lit(1)).alias(n))
+                .withColumnsRenamed({"url": at_url, "fetched_at": at_time}))
+    joined = rows.join(verdicts, (rows["url"] == verdicts[at_url])
+                       & (rows["fetched_at"] == verdicts[at_time]), "left")
+    found = F.coalesce(names, F.array().cast("array<string>"))
     return joined.select(
         *[rows[c] for c in rows.columns], F.array_join(found, ",").alias("lists"),
-        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_entries"),
+        F.coalesce(n, F.lit(0)).cast("bigint").alias("n_entries"),
         ((F.size(found) > 0) & ~F.array_contains(found, allow)).alias("blocked"))

@@ -26,7 +26,7 @@ def make_docs(spark):
 @pytest.fixture(scope="session")
 def odd_docs(make_docs):
     """Nulls, empty and very long texts, repeated rows, clashing column names."""
-    long = " ".join(f"w{i * 7919 % 10_007}" for i in range(60_000))
+    long = " ".join(f"w{i * 7919 % 1_000_003}" for i in range(60_000))
     rows = make_docs((1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "a b c d e"),
                      (5, "a b c d e"), (None, "x y z"), (None, "x y z"), (7, long),
                      (8, "é" * 5000), (9, "\x00 null byte"))

@@ -1,0 +1,100 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from flowlens.llm.packing import Windows, closed_lengths, merge_open, pack
+from flowlens.llm.queries import TOKENIZER
+
+
+@pytest.fixture(scope="module")
+def encode():
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check(rows, texts, encode, size=4096):
+    """Every id in one piece, every sequence gapless; returns the padding share."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    assert set(by_doc) == set(texts)
+    for doc, pieces in by_doc.items():
+        ids = np.array(encode(texts[doc]), "<u4")
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == at and r.length > 0 and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(ids[at:at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    total = padded = 0
+    for pieces in by_sequence.values():
+        at = 0
+        for r in sorted(pieces, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= size
+        total += at
+        padded += 0 if at.bit_count() == 1 else size - at
+    return padded / total
+
+
+def test_query(spark, sf_dir, documents, encode):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    rows = entry.queries()["op6_packing"](spark, sf_dir).collect()
+    assert check(rows, texts, encode) < 0.01
+
+
+def test_many_small_partitions(documents, encode):
+    from flowlens.llm.queries import with_crc
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    rows = with_crc(pack(documents.repartition(7), TOKENIZER, size=512, slots=8,
+                         merged_partitions=2)).collect()
+    assert check(rows, texts, encode, 512) < 0.04
+
+
+def test_words_are_encoded_as_whole_texts_are(spark, encode, make_docs):
+    from flowlens.llm.queries import with_crc
+    texts = {1: "It's A Test, isn't it? <|endoftext|> x<|startoftext|>y   　 é İ ΑΣ ΣΑ​!",
+             2: "\r\n\x0b\x0c tab\tword  12345 ½ ﬁ \U0001F600\x1c\x85 a b", 3: "\x00a\x00 \x01", 4: None}
+    rows = with_crc(pack(make_docs(*texts.items()), TOKENIZER)).collect()
+    check(rows, texts, encode)
+
+
+def test_windows_best_fit():
+    w = Windows(10, 2, 0)
+    assert w.place("a", 6) == [] and w.place("b", 3) == [] and w.place("c", 4) == []
+    assert w.place("d", 8) == [(0, ["a", "b"])]
+    assert w.place("e", 6) == [(1, ["c", "e"])]
+    assert w.content == {2: ["d"]}
+
+
+def test_closed_lengths():
+    for total in (0, 1, 4095, 4096, 4097, 10_000):
+        lengths = closed_lengths(total, 4096)
+        assert sum(lengths) == total and all(x.bit_count() == 1 for x in lengths)
+
+
+def test_merge_keeps_every_token():
+    pick = random.Random(3)
+    pieces = []
+    for doc in range(200):
+        ids = np.arange(pick.randint(1, 63), dtype="<u4") + doc * 1000
+        pieces.append((doc, 0, ids, len(ids)))
+    rows = merge_open(pieces, 64, 0, 0.98)
+    found = np.concatenate([np.frombuffer(r[3], "<u4") for r in rows])
+    assert sorted(found) == sorted(np.concatenate([p[2] for p in pieces]))
+
+
+def test_odd_rows(odd_docs, encode):
+    rows = pack(odd_docs, TOKENIZER).collect()
+    assert sum(r.length for r in rows if r.doc_id in (1, 2, 3)) == 3
+    assert sum(r.length for r in rows if r.doc_id is None) == 2 * len(encode("x y z"))
+    long = next(r.text for r in odd_docs.collect() if r.doc_id == 7)
+    assert sum(r.length for r in rows if r.doc_id == 7) == len(encode(long))
+    assert pack(odd_docs.limit(0), TOKENIZER).collect() == []

@@ -1,0 +1,105 @@
+import random
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from flowlens.llm.substrings import LEAST, MOST, cut_points, remove_spans, repeated_spans
+
+
+def words(seed, n):
+    pick = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyzéü"
+    return " ".join("".join(pick.choices(letters, k=pick.randint(1, 10))) for _ in range(n))
+
+
+def brute_cuts(data, least=20, gap=28, most=256):
+    """The same rule, one byte at a time."""
+    from flowlens.llm.substrings import GEAR
+    ends, last = [], 0
+    for i in range(len(data)):
+        h = sum(int(GEAR[data[j]]) << (i - j) for j in range(max(0, i - 15), i + 1)) & 0xFFFF
+        whole = i + 1 == len(data) or data[i + 1] & 0xC0 != 0x80
+        size = i + 1 - last
+        if size > most:
+            cut = last + most
+            while data[cut] & 0xC0 == 0x80:
+                cut -= 1
+            ends.append(cut)
+            last, size = cut, i + 1 - cut
+        if whole and (h < 65_536 // gap and size >= least or i + 1 == len(data)):
+            ends.append(i + 1)
+            last = i + 1
+    return ends
+
+
+def test_cuts():
+    for text in (words(1, 300), "a" * 3000, "é" * 1000, "x", words(2, 5), "日本語" * 400):
+        data = text.encode()
+        ends = cut_points(data)
+        assert ends == brute_cuts(data)
+        sizes = [b - a for a, b in zip([0, *ends], ends)]
+        assert ends[-1] == len(data) and max(sizes) <= MOST
+        assert all(s >= LEAST for s in sizes[:-1])
+        for a, b in zip([0, *ends], ends):
+            data[a:b].decode()
+
+
+def test_cuts_resist_insertion():
+    text = words(3, 2000)
+    before = text.encode()
+    after = (text[:3000] + "inserted words" + text[3000:]).encode()
+    def chunks(d):
+        return {d[a:b] for a, b in zip([0, *cut_points(d)], cut_points(d))}
+    assert len(chunks(after) - chunks(before)) <= 6
+
+
+def test_passages_are_found(make_docs):
+    """Passages of 51 words and more, shifted, in documents that are otherwise different."""
+    passages = [words(100 + i, 51 + i) for i in range(40)]
+    docs, planted = [], []
+    for i, passage in enumerate(passages):
+        for copy in range(3):
+            doc = len(docs)
+            docs.append((doc, f"{words(1000 + doc, 40 + doc % 7)} {passage} {words(5000 + doc, 30)}"))
+            planted.append(doc)
+    docs += [(1000 + i, words(9000 + i, 200)) for i in range(60)]
+    table = make_docs(*docs)
+    spans = repeated_spans(table)
+    rows = spans.collect()
+    assert len({r.doc_id for r in rows} & set(planted)) >= 0.97 * len(planted)
+    assert not {r.doc_id for r in rows} - set(planted)
+    texts = dict(docs)
+    for r in rows:
+        copies = [d for d in planted if texts[r.doc_id][r.start:r.end] in texts[d]]
+        assert len(copies) == 3 and r.first_doc_id == min(copies)
+        assert r.extra == (r.doc_id != min(copies)) and r.n_docs == 3
+    left = {r.doc_id: r.text for r in remove_spans(table, spans).collect()}
+    assert all(left[d] == texts[d] for d in texts if d not in planted or d % 3 == 0)
+    assert sum(len(left[d]) < len(texts[d]) for d in planted) >= 0.95 * 80
+
+
+def test_query(spark, sf_dir, documents):
+    rows = entry.queries()["op1_substring_dedup"](spark, sf_dir).collect()
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert rows
+    for r in rows:
+        piece = texts[r.doc_id][r.start:r.end]
+        assert len(piece) >= 100
+        if r.n_docs > 1 and r.extra:
+            assert piece[:LEAST // 4] in texts[r.first_doc_id] or r.n_docs > 2
+    copies = {}
+    for d in sorted(texts):
+        if len(texts[d] or "") > 400:
+            copies.setdefault(texts[d], []).append(d)
+    extra = {r.doc_id for r in rows if r.extra}
+    assert all(set(own[1:]) <= extra for own in copies.values())
+
+
+def test_odd_rows(odd_docs):
+    rows = repeated_spans(odd_docs).collect()
+    assert {r.doc_id for r in rows} <= {8}
+    cut = remove_spans(odd_docs, repeated_spans(odd_docs))
+    assert cut.columns == odd_docs.columns and cut.count() == odd_docs.count()
+    clash = odd_docs.withColumns({"cuts": F.lit(1), "cut_id": F.lit(2)})
+    assert remove_spans(clash, repeated_spans(clash)).count() == odd_docs.count()
+    assert repeated_spans(odd_docs.limit(0)).collect() == []

@@ -1,0 +1,84 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from flowlens.llm.url_lists import filter_urls, keys_of, validity
+
+CAPTURES = "page_id bigint, url string, fetched_at bigint"
+FEED = "list_name string, pattern string, action string, listed_at bigint"
+
+
+def brute_keys(url):
+    m = re.match(r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", url or "")
+    host = m[1].lower().rstrip(".") if m else ""
+    if not host:
+        return set()
+    labels = host.split(".")
+    path = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", url)[1]
+    parts = [p for p in path.split("/") if p]
+    return {".".join(labels[i:]) for i in range(len(labels))} | {
+        f"{host}/{'/'.join(parts[:i])}" for i in range(1, len(parts) + 1)}
+
+
+def brute(captures, feed):
+    state = {}
+    for row in feed:
+        if None not in row and row[2] in ("add", "remove"):
+            state.setdefault(row[:2], {}).setdefault(row[3], set()).add(row[2])
+    result = []
+    for page, url, time in captures:
+        own = set()
+        for (name, pattern), moves in state.items():
+            past = [t for t in moves if time is not None and t <= time]
+            if past and "remove" not in moves[max(past)] and pattern in brute_keys(url):
+                own.add((name, pattern))
+        names = sorted({n for n, _ in own})
+        result.append((page, url, time, ",".join(names), len(own),
+                       bool(names) and "allow" not in names))
+    return result
+
+
+URLS = ["http://a.b.example.com/x/y/z?q=1", "https://user@EXAMPLE.com:8080/x//y/", "ftp://b.example.com.",
+        "http://example.com#f", "no url", "", None, "http:///path", "http://x.org/" + "s/" * 200]
+
+
+def test_keys(spark):
+    table = spark.createDataFrame([(u,) for u in URLS], "url string")
+    for r in table.select("url", keys_of(F.col("url")).alias("k")).collect():
+        assert set(r.k) == brute_keys(r.url)
+
+
+@pytest.mark.parametrize("bucket", [7, 1000])
+def test_equals_brute_force(spark, bucket):
+    pick = random.Random(2)
+    patterns = ["example.com", "b.example.com", "example.com/x", "a.b.example.com/x/y", "com", "x.org"]
+    feed = [(pick.choice(["spam", "adult", "allow"]), pick.choice(patterns),
+             pick.choice(["add", "add", "remove"]), pick.randint(0, 60)) for _ in range(120)]
+    feed += [("spam", "x.org", "add", t) for t in range(60)]
+    feed += [(None, "com", "add", 1), ("spam", None, "add", 1), ("spam", "com", "add", None),
+             ("spam", "com", "other", 1)]
+    captures = [(i, pick.choice(URLS), pick.choice([None, *range(-5, 70)])) for i in range(300)]
+    captures += captures[:5]
+    found = filter_urls(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(feed, FEED),
+                        bucket=bucket).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute(captures, feed)))
+
+
+def test_intervals(spark):
+    feed = spark.createDataFrame([("l", "p", "add", 5), ("l", "p", "add", 20), ("l", "p", "remove", 31),
+                                  ("l", "p", "remove", 90), ("l", "p", "add", 95)], FEED)
+    for bucket in (3, 10, 1000):
+        rows = validity(feed, bucket).collect()
+        assert {(r.valid_from, r.valid_to) for r in rows} == {(5, 20), (20, 31), (95, None)}
+
+
+def test_odd_rows(spark):
+    captures = spark.createDataFrame([(1, "http://a.com", 5)], CAPTURES)
+    feed = spark.createDataFrame([("l", "a.com", "add", 1)], FEED)
+    clash = captures.withColumns({c: F.lit("x") for c in ("lists", "blocked", "pattern", "bucket", "n")})
+    row = filter_urls(clash, feed).first()
+    assert row.lists == "l" and row.blocked and row.n_entries == 1 and row.pattern == "x"
+    assert filter_urls(captures, feed.limit(0)).first().blocked is False
+    assert filter_urls(captures.limit(0), feed).collect() == []
