@@ -1,5 +1,6 @@
 """Bounded-space online packing of token sequences."""
 
+import re
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -9,13 +10,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from flowlens.llm.texts import stored, utf8
+from flowlens.llm.texts import sliced, stored, utf8
 
 #: Words that a worker's tokenizer remembers.
 CACHED_WORDS = 300_000
 #: Partitions whose leftovers are merged in one task.
-MERGED_PARTITIONS = 32
+MERGED_PARTITIONS = 4
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint,"
           " sequence_id bigint, offset bigint, open boolean")
@@ -25,33 +27,96 @@ PIECES_ARROW = pa.schema([
     ("offset", pa.int64()), ("open", pa.bool_())])
 
 
+#: Text of ASCII without apostrophes and of Latin letters that lower-case one to one; in
+#: lower case the tokenizer cuts it as ``PARTS`` does, and nowhere else.
+PLAIN = re.compile(r"[\t\n\r -&(-~À-ÖØ-öø-ÿ]*+")
+PARTS = re.compile(r"[a-zß-öø-ÿ]++|[0-9]|[!-&(-/:-@\[-`{-~]++")
+SPECIAL = "<|"
+WORD_END = "</w>"
+#: Byte-level vocabularies spell a byte as the character of its number; bytes that are not
+#: printable there, in order, from 256 on.
+BYTE_LETTERS = {n: 256 + at for at, n in enumerate(
+    n for n in range(256) if not (33 <= n <= 126 or 161 <= n <= 172 or n >= 174))}
+
+
 class WordTokenizer:
-    """Ids of a text, one word (between ASCII white space) at a time.
+    """Ids of a text as bytes, one word at a time.
 
-    For a tokenizer that drops white space and never joins across it; words repeat, so
-    most are looked up. The cache is emptied when it is full.
+    For a tokenizer that drops white space and never joins across it, lower-cases, and
+    cuts between letters, digits and punctuation (byte-level BPE with word ends). Words
+    repeat, so most are looked up; those that are new are encoded many in one call. Texts
+    other than ``PLAIN`` are split at ASCII white space, and words there that are not
+    plain go to the tokenizer as they are. The memory is emptied when it is full.
     """
 
     def __init__(self, path: str, end_id: int, cached: int = CACHED_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id, self.cached, self.known = end_id, cached, {}
-
-    def encode(self, text: bytes | None) -> np.ndarray:
-        words = text.split() if text else []
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        # The model alone, for words that are already in lower case and spelled in bytes.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.end = end_id.to_bytes(4, "little")
+        self.cached = cached
+        self.known: dict[str, bytes] = {}
+
+    def whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(found.ids, "<u4").tobytes() for found in
+                self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters: each ends with the only word-end token it has."""
+        text = " ".join(words)
+        if not text.isascii():
+            text = " ".join(w.encode().decode("latin-1").translate(BYTE_LETTERS) for w in words)
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
+        if len(stops) != len(words):
+            return self.whole(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *stops], stops)]
+
+    def lookup(self, parts: set[str]) -> dict[str, bytes]:
+        """The ids of all parts; a small dictionary, so that its use stays in the cache."""
         known = self.known
-        missing = list({w for w in words if w not in known})
-        for at in range(0, len(missing), 10_000):
-            part = missing[at:at + 10_000]
-            if len(known) > self.cached:
-                known = self.known = {w: known[w] for w in words if w in known}
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(
-                    [w.decode() for w in part], add_special_tokens=False)):
-                known[word] = found.ids
-        ids: list[int] = []
-        for word in words:
-            ids += known[word]
-        ids.append(self.end_id)
-        return np.array(ids, "<u4")
+        found = {p: known.get(p) for p in parts}
+        missing = [p for p, ids in found.items() if ids is None]
+        letters = [p for p in missing if "a" <= p[0] and PARTS.fullmatch(p)]
+        letters.sort(key=str.isascii)
+        new = {}
+        for at in range(0, len(letters), 400):
+            part = letters[at:at + 400]
+            new.update(zip(part, self.letters(part)))
+        others = [p for p in missing if p not in new]
+        new.update(zip(others, self.whole(others)))
+        if len(known) + len(new) > self.cached:
+            known.clear()
+        known.update(new)
+        found.update(new)
+        return found
+
+    @staticmethod
+    def parts(text: bytes | None) -> list[str]:
+        """The pieces that are looked up, in order."""
+        text = (text or b"").decode()
+        if PLAIN.fullmatch(text) and SPECIAL not in text:
+            return PARTS.findall(text.lower())
+        found = []
+        for word in re.split("[ \t\n\r\x0b\x0c]+", text):
+            if PLAIN.fullmatch(word) and SPECIAL not in word:
+                found += PARTS.findall(word.lower())
+            else:
+                found.append(word)
+        return found
+
+    def encode_all(self, texts: list[bytes | None]) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), 250):
+            split = [self.parts(t) for t in texts[at:at + 250]]
+            ids = self.lookup(set().union(*split))
+            for parts in split:
+                data = b"".join(map(ids.__getitem__, parts)) + self.end
+                yield np.frombuffer(data, "<u4")
 
 
 class Windows:
@@ -112,10 +177,10 @@ def pack_partitions(docs: DataFrame, tokenizer: str, end_id: int, size: int,
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordTokenizer(tokenizer, end_id)
         windows = Windows(size, slots, TaskContext.get().partitionId() << 32)
-        for batch in batches:
+        for batch in sliced(batches, 1000):
             rows, held = [], 0
-            for doc, text in zip(batch["doc_id"].to_pylist(), utf8(batch["text"])):
-                ids = encoder.encode(text)
+            found = encoder.encode_all(utf8(batch["text"]))
+            for doc, ids in zip(batch["doc_id"].to_pylist(), found):
                 total, start = len(ids), 0
                 closed = []
                 while total - start >= size:

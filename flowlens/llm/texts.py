@@ -1,5 +1,7 @@
 """Small helpers shared by the text operators."""
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,13 @@ def utf8(texts: pa.Array) -> list[bytes | None]:
     return texts.cast(pa.large_binary() if large else pa.binary()).to_pylist()
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for work that holds Python objects for each."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def once(function, column: Column) -> Column:
     """Apply an Arrow function so that Spark never evaluates it twice for a row."""
     return function.asNondeterministic()(column)
