@@ -15,7 +15,7 @@ from tokenizers.pre_tokenizers import WhitespaceSplit
 from flowlens.llm.texts import sliced, stored, utf8
 
 #: Words that a worker's tokenizer remembers.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 #: Partitions whose leftovers are merged in one task.
 MERGED_PARTITIONS = 4
 
@@ -119,6 +119,17 @@ class WordTokenizer:
                 yield np.frombuffer(data, "<u4")
 
 
+_encoders: dict[tuple, WordTokenizer] = {}
+
+
+def encoder_of(path: str, end_id: int) -> WordTokenizer:
+    """The worker's tokenizer; a worker keeps one, with its words, from task to task."""
+    if (path, end_id) not in _encoders:
+        _encoders.clear()
+        _encoders[path, end_id] = WordTokenizer(path, end_id)
+    return _encoders[path, end_id]
+
+
 class Windows:
     """A fixed number of open windows; a document goes where it leaves least room."""
 
@@ -175,7 +186,7 @@ def pack_partitions(docs: DataFrame, tokenizer: str, end_id: int, size: int,
     Sequence ids are the partition's number times 2 ** 32 and a counter.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordTokenizer(tokenizer, end_id)
+        encoder = encoder_of(tokenizer, end_id)
         windows = Windows(size, slots, TaskContext.get().partitionId() << 32)
         for batch in sliced(batches, 1000):
             rows, held = [], 0
