@@ -14,7 +14,7 @@ from flowlens.llm.pii import TEST_KEY, pseudonymize_rows
 from flowlens.llm.quality import quality_rows
 from flowlens.llm.simhash import near_duplicates
 from flowlens.llm.substrings import repeated_spans
-from flowlens.llm.texts import hex64, table
+from flowlens.llm.texts import hex64, stored, table
 from flowlens.llm.url_fixture import SPARK, captures_sql, feed_sql
 from flowlens.llm.url_lists import filter_urls, host_of, path_of
 from flowlens.llm.warc import read_archive, write_archive
@@ -33,10 +33,10 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = spark.sql(captures_sql("{pages}"), pages=pages)
     host = host_of(F.col("url"))
     segment = F.element_at(F.filter(F.split(path_of(F.col("url")), "/"), lambda x: x != ""), 1)
-    names = pages.select(
+    names = stored(pages.select(
         host.alias("host"), F.substring_index(host, ".", -2).alias("domain"),
-        F.concat(host, F.lit("/"), segment).alias("path")).distinct()
-    feed = spark.sql(feed_sql("{names}", SPARK), names=names)
+        F.concat(host, F.lit("/"), segment).alias("path")).distinct(), "names")
+    feed = stored(spark.sql(feed_sql("{names}", SPARK), names=names), "feed")
     return filter_urls(captures, feed)
 
 
