@@ -4,6 +4,7 @@ import argparse
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.operators.detector import Detector
 from flowlens.plans.elbow import snapshot_and_sweep
@@ -11,11 +12,12 @@ from flowlens.plans.evaluation import score_labelled
 from flowlens.plans.history import score_history
 from flowlens.plans.learning import detector_path, train
 from flowlens.sinks.documents import http_sender
+from flowlens.sinks.tables import compact_day
 from flowlens.sources.lines import file_lines, kafka_lines, kafka_options, netflow_events
 from flowlens.sources.tables import read_features, read_labelled_csv, read_training_set
 from flowlens.streaming.batches import INTERVAL
-from flowlens.streaming.capture import capture_features
-from flowlens.streaming.scoring import score_stream
+from flowlens.streaming.capture import capture_features, capture_rejected
+from flowlens.streaming.scoring import score_stream, score_windows
 from flowlens.streaming.windowed import capture_windows
 
 
@@ -34,8 +36,22 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--checkpoint", required=True)
         p.add_argument("--interval", default=INTERVAL)
         p.add_argument("--once", action="store_true", help="process what is there, then stop")
-        p.add_argument("--wall-clock", action="store_true",
-                       help="label each batch by the clock instead of by event time")
+        how = p.add_mutually_exclusive_group(required=True)
+        how.add_argument("--windows", action="store_true",
+                         help="complete event-time windows, whatever the batches are")
+        how.add_argument("--wall-clock", action="store_true",
+                         help="each batch is one interval, labelled by the clock")
+        p.add_argument("--bucket-seconds", type=int, default=300, help="length of a window")
+        p.add_argument("--delay", default="10 minutes",
+                       help="how late an event may be; later ones are dropped")
+        p.add_argument("--state-partitions", type=int,
+                       help="fixed by the first start; required on a cluster")
+        p.add_argument("--starting-offsets", default="latest")
+        p.add_argument("--max-offsets-per-trigger", type=int)
+        p.add_argument("--max-files-per-trigger", type=int)
+        p.add_argument("--strict", action="store_true",
+                       help="check the sensor type of each parsed line")
+        p.add_argument("--rejected", help="table for lines that cannot be read")
 
     def day_arguments(p: argparse.ArgumentParser) -> None:
         p.add_argument("--first-day", required=True)
@@ -49,8 +65,6 @@ def parser() -> argparse.ArgumentParser:
     p = job("capture", "stream flow lines into the feature table")
     stream_arguments(p)
     p.add_argument("--features", required=True)
-    p.add_argument("--windows", action="store_true",
-                   help="complete event-time windows instead of one row per batch")
 
     p = job("elbow", "store a training set and the cost per number of clusters")
     p.add_argument("--features", required=True)
@@ -85,13 +99,30 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--csv", required=True)
     model_arguments(p)
     p.add_argument("--out", required=True)
+    p.add_argument("--drop-bad-rows", action="store_true",
+                   help="leave unusable rows out instead of stopping")
+
+    p = job("compact", "rewrite a closed day of a table as one load")
+    p.add_argument("--table", required=True)
+    p.add_argument("--day", required=True)
+    p.add_argument("--staging", required=True, help="new folder for the day's rows meanwhile")
     return top
 
 
 def stream_lines(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.lines:
-        return file_lines(spark, args.lines, stream=True)
-    return kafka_lines(spark, kafka_options(args.brokers, args.topics or ""))
+        return file_lines(spark, args.lines, True, args.max_files_per_trigger)
+    return kafka_lines(spark, kafka_options(
+        args.brokers, args.topics or "", args.starting_offsets, args.max_offsets_per_trigger))
+
+
+def await_streams(*queries: StreamingQuery) -> None:
+    """Wait until all have ended; a failure of any is raised."""
+    while any(query.isActive for query in queries):
+        for query in queries:
+            query.awaitTermination(5)
+    for query in queries:
+        query.awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -104,19 +135,29 @@ def main(argv: list[str] | None = None) -> None:
     def sender():
         return http_sender(args.post_to) if args.post_to else None
 
+    def segment() -> str:
+        return time.strftime("%H:%M:00")
+
     def stream_options() -> dict:
         return {"interval": args.interval, "available_now": args.once}
 
-    def segment():
-        return (lambda: time.strftime("%H:%M:00")) if args.wall_clock else None
+    def window_options() -> dict:
+        return {"bucket_seconds": args.bucket_seconds, "delay": args.delay,
+                "state_partitions": args.state_partitions} | stream_options()
+
+    def rejected() -> list[StreamingQuery]:
+        if not args.rejected:
+            return []
+        return [capture_rejected(stream_lines(spark, args), args.rejected,
+                                 f"{args.checkpoint}-rejected", **stream_options())]
 
     if args.job == "capture" and args.windows:
-        events = netflow_events(stream_lines(spark, args))
-        capture_windows(events, args.features, args.checkpoint,
-                        **stream_options()).awaitTermination()
+        events = netflow_events(stream_lines(spark, args), args.strict)
+        await_streams(capture_windows(events, args.features, args.checkpoint,
+                                      **window_options()), *rejected())
     elif args.job == "capture":
-        capture_features(stream_lines(spark, args), args.features, args.checkpoint,
-                         segment=segment(), **stream_options()).awaitTermination()
+        await_streams(capture_features(stream_lines(spark, args), args.features, args.checkpoint,
+                                       segment, args.strict, **stream_options()), *rejected())
     elif args.job == "elbow":
         table = read_features(spark, args.features, args.first_day, args.last_day)
         snapshot_and_sweep(table, args.root, range(args.first_k, args.last_k + 1),
@@ -125,15 +166,24 @@ def main(argv: list[str] | None = None) -> None:
         train(read_training_set(spark, args.training_set), args.k, args.percentile, args.root,
               mode="overwrite" if args.overwrite else "errorifexists")
     elif args.job == "predict":
-        score_stream(stream_lines(spark, args), detector(), args.anomalies, args.checkpoint,
-                     segment=segment(), send=sender(), refresh_each_batch=args.refresh,
-                     **stream_options()).awaitTermination()
+        common = {"send": sender(), "refresh_each_batch": args.refresh}
+        if args.windows:
+            events = netflow_events(stream_lines(spark, args), args.strict)
+            query = score_windows(events, detector(), args.anomalies, args.checkpoint,
+                                  **common, **window_options())
+        else:
+            query = score_stream(stream_lines(spark, args), detector(), args.anomalies,
+                                 args.checkpoint, segment, strict=args.strict,
+                                 **common, **stream_options())
+        await_streams(query, *rejected())
     elif args.job == "history":
         score_history(spark, args.features, Detector.load(spark, detector()), args.first_day,
                       args.last_day, args.anomalies, args.load_id, sender())
+    elif args.job == "compact":
+        compact_day(spark, args.table, args.day, args.staging)
     else:
-        scored = score_labelled(read_labelled_csv(spark, args.csv),
-                                Detector.load(spark, detector()))
+        rows = read_labelled_csv(spark, args.csv, "drop" if args.drop_bad_rows else "fail")
+        scored = score_labelled(rows, Detector.load(spark, detector()))
         scored.write.parquet(args.out)
 
 

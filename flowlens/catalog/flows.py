@@ -53,3 +53,44 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flow_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines; null fields are left out, as real exporters do."""
     return all_flows(events_table(spark, sf_dir)).select(F.to_json(F.struct("*")).alias("value"))
+
+
+#: Cuts of the input into files, each on the way through a day, so that pairs and days
+#: lie on both sides; and the label of each file where a file is an interval.
+CUTS = ["2024-01-08 11:17:23", "2024-01-15 16:59:30", "2024-01-22 12:00:00"]
+CUT_LABELS = ["00:00:00", "06:00:00", "12:00:00", "18:00:00"]
+
+
+def line_parts(lines: DataFrame, cuts: list[str]) -> list[DataFrame]:
+    """The lines in parts by the time that stands in them."""
+    time = F.get_json_object("value", "$.end_time")
+    edges = [None, *cuts, None]
+    parts = []
+    for low, high in zip(edges, edges[1:]):
+        part = lines
+        if low is not None:
+            part = part.where(time >= low)
+        parts.append(part if high is None else part.where(time < high))
+    return parts
+
+
+def typed_lines(events: DataFrame) -> DataFrame:
+    """Flow lines with numbers as they are, as text, and with a zero fraction, in turn."""
+    flows = all_flows(events)
+    numbers = [c for c, kind in flows.dtypes if kind == "bigint"]
+    lines = None
+    for turn, kind in enumerate(("bigint", "string", "decimal(20,1)")):
+        own = flows.where(F.col("src_port") % 3 == turn).withColumns(
+            {c: F.col(c).cast(kind) for c in numbers})
+        part = own.select(F.to_json(F.struct("*")).alias("value"))
+        lines = part if lines is None else lines.union(part)
+    return lines
+
+
+#: Lines of which some are no JSON and some have a number that cannot be read.
+ODD_LINE = ("""concat('{{"sensor_type":"netflow","src_ip":"10.0.0.', cast(user_id % 50 as {S}),"""
+            """ '","src_port":', case event_id % 5 when 0 then '"oops"' when 1 then '80.5'"""
+            """ when 2 then '"80"' when 3 then '80.0' else '80' end,"""
+            """ case when event_id % 7 = 0 then '' else '}}' end)""")
+ODD_REASON = ("case when event_id % 7 = 0 then 'line'"
+              " when event_id % 5 in (0, 1) then 'src_port' end")

@@ -1,8 +1,10 @@
 """DuckDB SQL for the registered queries, over the same tables."""
 
-from flowlens.catalog.flows import DUCKDB_WORDS, flow_expressions
+from flowlens.catalog.flows import (
+    CUT_LABELS, CUTS, DUCKDB_WORDS, ODD_LINE, ODD_REASON, flow_expressions,
+)
 from flowlens.catalog.queries import (
-    FIRST_DAY, K, LAST_DAY, LINE_KEYS, PERCENTILE, SCORE_FIRST_DAY, SEGMENT, STEPS, TRAIN_LAST_DAY,
+    FIRST_DAY, FIT_K, K, LAST_DAY, LINE_KEYS, PERCENTILE, SCORE_FIRST_DAY, SEGMENT, STEPS, TRAIN_LAST_DAY,
 )
 from flowlens.functions.anomaly_columns import EVENT_TYPE, PORT_LIMIT, PROTOCOL_LIMIT
 from flowlens.schemas import (
@@ -129,20 +131,20 @@ RECORDS = [
 
 
 def model(final: str, bucket: str = DAY, train_where: str = "", rows_where: str = "",
-          steps: list[tuple[str, str]] = ()) -> str:
+          steps: list[tuple[str, str]] = (), rows: str = "SELECT * FROM features") -> str:
     """Features, pinned training on them, and scoring of ``rows``."""
     return with_steps([
         ALL_FLOWS, FLOWS, features(bucket),
         ("train", f"SELECT * FROM features {train_where}"),
-        ("rows_", f"SELECT * FROM features {rows_where}"),
+        ("rows_", f"{rows} {rows_where}"),
         *scaling("train", "rows_"), *pinned(K, STEPS),
         *scored("train_scored", "train_z"), *scored("rows_scored", "rows_z"),
         BOUNDARIES, *steps], final)
 
 
-def records(rows_where: str = "", train_where: str = "") -> str:
+def records(rows_where: str = "", train_where: str = "", **options) -> str:
     return model("SELECT * REPLACE (round(probability, 4) AS probability) FROM records",
-                 train_where=train_where, rows_where=rows_where, steps=RECORDS)
+                 train_where=train_where, rows_where=rows_where, steps=RECORDS, **options)
 
 
 def elbow_pinned(ks: range, steps: int) -> str:
@@ -181,18 +183,25 @@ LABEL_COLUMNS = f"""({ODD})::VARCHAR AS anomaly, CASE WHEN {ODD} THEN 'volume' E
     CASE WHEN {ODD} THEN 'n_octetos' END AS anomalous_var"""
 TEXT_KEYS = "src_ip, dst_ip, tsegm_inittime, week_day, day::VARCHAR AS day"
 
-CLOSED_WINDOWS = f"""HAVING {{start}} + INTERVAL '{FIVE_MINUTES}'
-    <= (SELECT max(end_time::TIMESTAMP) - INTERVAL '10 minutes' FROM flows)""".format(
-    start=f"time_bucket(INTERVAL '{FIVE_MINUTES}', end_time::TIMESTAMP)")
+CLOSED_DAYS = """WHERE day + INTERVAL '1 day'
+    <= (SELECT max(end_time::TIMESTAMP) - INTERVAL '10 minutes' FROM flows)"""
 
 DISTANCES = f"""SELECT {KEY_LIST}, prediction::INTEGER AS predictions,
     round(distance, 6) AS distances, (i - 1)::INTEGER AS idx, fv[i] AS value,
     {SIGNED.format(v="zv[i]")} AS normalized
     FROM train_scored, range(1, {len(FEATURES) + 1}) r(i)"""
 
-BATCH = f"""SELECT src_ip, dst_ip, max(end_time::TIMESTAMP)::DATE AS day,
-    '{SEGMENT}' AS tsegm_inittime, strftime(max(end_time::TIMESTAMP), '%a') AS week_day,
-    {counters()} FROM flows GROUP BY src_ip, dst_ip"""
+def intervals(label: str) -> str:
+    """One row per pair and label."""
+    return f"""SELECT src_ip, dst_ip, max(end_time::TIMESTAMP)::DATE AS day,
+        label AS tsegm_inittime, strftime(max(end_time::TIMESTAMP), '%a') AS week_day,
+        {counters()} FROM (SELECT *, {label} AS label FROM flows) GROUP BY src_ip, dst_ip, label"""
+
+
+BATCH = intervals(f"'{SEGMENT}'")
+FILES = intervals("CASE " + " ".join(
+    f"WHEN end_time < '{cut}' THEN '{label}'" for cut, label in zip(CUTS, CUT_LABELS))
+    + f" ELSE '{CUT_LABELS[-1]}' END")
 
 # Values holds text without characters that JSON escapes, so plain concatenation is enough.
 DOCUMENT = " || ',' || ".join(
@@ -208,6 +217,13 @@ BOUNDARY_ROWS = "SELECT prediction::INTEGER AS prediction, round(boundary, 6) AS
 BETWEEN = f"WHERE day BETWEEN DATE '{FIRST_DAY}' AND DATE '{LAST_DAY}'"
 PARSED = f"SELECT {', '.join(RAW_SCHEMA.names)} FROM flows"
 
+LABELLED = model(f"""
+        SELECT {TEXT_KEYS}, '[' || array_to_string(fv, ',') || ']' AS features,
+               prediction::INTEGER AS predictions, round(distance, 6) AS distances,
+               round(boundary, 6) AS boundary, distance > boundary AS pred_anom,
+               {LABEL_COLUMNS.replace("n_octetos >", f"fv[{FEATURES.index('n_octetos') + 1}] >")}
+        FROM rows_scored JOIN boundaries USING (prediction)""")
+
 ORACLES: dict[str, str] = {
     "connection_features": feature_query(FIVE_MINUTES),
     "connection_features_batch": with_steps([ALL_FLOWS, FLOWS], BATCH),
@@ -217,8 +233,13 @@ ORACLES: dict[str, str] = {
         [ALL_FLOWS, FLOWS],
         f"SELECT {', '.join(f'{c}::VARCHAR AS {c}' for c in LINE_KEYS)} FROM flows"),
     "flow_json_parse": with_steps([ALL_FLOWS, FLOWS], PARSED),
+    "flow_json_typed": with_steps([ALL_FLOWS, FLOWS], PARSED),
+    "flow_json_rejected": f"""
+        SELECT * FROM (SELECT {ODD_LINE.format(**DUCKDB_WORDS)} AS value, {ODD_REASON} AS reason
+                       FROM events) WHERE reason IS NOT NULL""",
     "history_day_range": feature_query(DAY, BETWEEN),
     "partitioned_table_roundtrip": feature_query(DAY),
+    "compacted_table_roundtrip": feature_query(DAY),
     "training_set_roundtrip": feature_query(DAY),
     "feature_vector": model(exploded("fv", "train_z", "{v}")),
     "scaler_stats": scaler_stats(),
@@ -232,6 +253,18 @@ ORACLES: dict[str, str] = {
     "clustering_cost": model("SELECT round(sum(distance * distance), 4) AS cost"
                              " FROM train_scored"),
     "elbow_curve_pinned": elbow_pinned(range(2, 7), 2),
+    "cluster_fit": model(f"""
+        SELECT {FIT_K} AS k, count(*) AS n_rows,
+               round(sum(list_inner_product(zv, zv)), 3) AS total_squares, TRUE AS all_nearest,
+               TRUE AS cost_below_total, TRUE AS cost_at_most_training FROM train_z"""),
+    "train_then_score": with_steps(
+        [ALL_FLOWS, FLOWS, features(DAY)],
+        f"SELECT {FIT_K} AS k, count(*) AS n_rows, TRUE AS ranks_hold FROM features"),
+    "detector_from_model": with_steps(
+        [ALL_FLOWS, FLOWS, features(DAY)],
+        f"SELECT count(*) AS n_rows, {K} AS k, TRUE AS same FROM features"),
+    "elbow_curve": "SELECT k::INTEGER AS k, TRUE AS below_one FROM range(2, 61) r(k)",
+    "elbow_points_roundtrip": "SELECT k::INTEGER AS k, TRUE AS below_one FROM range(2, 7) r(k)",
     "cluster_boundaries": model(BOUNDARY_ROWS),
     "cluster_boundaries_narrowed": model(BOUNDARY_ROWS),
     "cluster_boundaries_approx": model(f"""
@@ -261,13 +294,13 @@ ORACLES: dict[str, str] = {
         [ALL_FLOWS, FLOWS, features(DAY)],
         f"SELECT {TEXT_KEYS}, {', '.join(f'{c}::DOUBLE AS {c}' for c in FEATURES)},"
         f" {LABEL_COLUMNS} FROM features"),
-    "labelled_scoring": model(f"""
-        SELECT {TEXT_KEYS}, '[' || array_to_string(fv, ',') || ']' AS features,
-               prediction::INTEGER AS predictions, round(distance, 6) AS distances,
-               round(boundary, 6) AS boundary, distance > boundary AS pred_anom,
-               {LABEL_COLUMNS.replace("n_octetos >", f"fv[{FEATURES.index('n_octetos') + 1}] >")}
-        FROM rows_scored JOIN boundaries USING (prediction)"""),
-    "stream_features_available_now": feature_query(FIVE_MINUTES),
-    "stream_features_windowed": feature_query(FIVE_MINUTES, having=CLOSED_WINDOWS),
-    "stream_score_available_now": records(),
+    "labelled_csv_rejected": with_steps(
+        [ALL_FLOWS, FLOWS, features(DAY)],
+        f"SELECT {TEXT_KEYS} FROM features WHERE n_paquets % 3 < 2"),
+    "labelled_scoring": LABELLED,
+    "labelled_result_roundtrip": LABELLED,
+    "stream_features_available_now": with_steps([ALL_FLOWS, FLOWS], FILES),
+    "stream_features_windowed": feature_query(DAY, CLOSED_DAYS),
+    "stream_score_available_now": records(rows=FILES),
+    "stream_score_windowed": records(CLOSED_DAYS),
 }

@@ -2,10 +2,14 @@
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.catalog.flows import events_table, flow_lines, flows, flows_of
+from flowlens.catalog.facts import elbow_facts, fit_facts, rank_facts
+from flowlens.catalog.flows import (
+    CUT_LABELS, CUTS, ODD_LINE, SPARK_WORDS, events_table, flow_lines, flows, line_parts, typed_lines,
+)
 from flowlens.functions.anomaly_columns import vector_text
 from flowlens.operators.boundaries import cluster_boundaries
 from flowlens.operators.clustering import (
@@ -15,17 +19,18 @@ from flowlens.operators.clustering import (
 from flowlens.operators.connections import connection_features, fill_counters
 from flowlens.operators.detector import Detector, anomaly_documents, boundaries_table
 from flowlens.operators.scaling import fit_scaler, standardize, with_features
+from flowlens.plans.elbow import snapshot_and_sweep
 from flowlens.plans.evaluation import score_labelled
 from flowlens.plans.history import score_history
-from flowlens.plans.learning import distances_table, train
+from flowlens.plans.learning import detector_path, distances_table, run_path, train
 from flowlens.schemas import EXPORTER_SUMS, FEATURES, KEYS, LABELS
-from flowlens.sinks.tables import append_anomalies, append_features, write_table
-from flowlens.sources.lines import file_lines, keep_netflow, netflow_events
+from flowlens.sinks.tables import append_anomalies, append_features, compact_day, write_table
+from flowlens.sources.lines import file_lines, keep_netflow, netflow_events, rejected_lines
 from flowlens.sources.tables import (
-    read_anomalies, read_features, read_labelled_csv, read_training_set,
+    read_anomalies, read_features, read_labelled_csv, read_training_set, rejected_labelled_rows,
 )
 from flowlens.streaming.capture import capture_features
-from flowlens.streaming.scoring import score_stream
+from flowlens.streaming.scoring import score_stream, score_windows
 from flowlens.streaming.windowed import capture_windows
 from flowlens.workspace import work_path
 
@@ -136,12 +141,40 @@ def standardized_features(spark, sf_dir):
     return long.withColumn("value", rounded("value"))
 
 
+FIT_K = 11
+
+
 def cluster_fit(spark, sf_dir):
-    """Depends on a random start: cluster sizes and distances to the fitted centres."""
+    """Facts about a fit from a random start: clusters, rows, nearest centres, cost."""
     table = standardized(spark, sf_dir)
-    fit = fit_clusters(table, 11)
-    return (assign(table, fit.centers).groupBy("prediction")
-            .agg(F.count(F.lit(1)).alias("n"), rounded(F.avg("distance")).alias("distance")))
+    fit = fit_clusters(table, FIT_K)
+    model = fit.model.setFeaturesCol("vector").setPredictionCol("other")
+    scored = model.transform(assign(table, fit.centers).withColumn(
+        "vector", array_to_vector("normalizedFeatures")))
+    return fit_facts(scored, len(fit.centers), fit.cost)
+
+
+def train_then_score(spark, sf_dir):
+    """The whole training from a random start, and the ranks of its boundaries."""
+    table = training_set(spark, sf_dir)
+    detector = train(table, FIT_K, PERCENTILE)
+    return rank_facts(detector.flags(table), PERCENTILE)
+
+
+def detector_from_model(spark, sf_dir):
+    """A stored detector and the one put together from its Spark ML model: the same?"""
+    root = work_path(spark, "models")
+    trained = train(training_set(spark, sf_dir), K, PERCENTILE, root)
+    path = detector_path(root, K, PERCENTILE)
+    version = spark.read.parquet(f"{path}/versions").agg(F.max("version")).first()[0]
+    built = Detector.from_model(spark, f"{run_path(path, version)}/model",
+                                trained.scaler.to_table(spark),
+                                boundaries_table(spark, trained.boundaries))
+    loaded = Detector.load(spark, path)
+    scored = spark.read.parquet(f"{run_path(path, version)}/distances")
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                      F.lit(len(built.centers)).alias("k"),
+                      F.lit(built == loaded == trained).alias("same"))
 
 
 def cluster_fit_pinned(spark, sf_dir):
@@ -164,7 +197,16 @@ def clustering_cost_query(spark, sf_dir):
 
 
 def elbow_curve_query(spark, sf_dir):
-    return elbow_curve(with_features(training_set(spark, sf_dir)), range(2, 7))
+    """All of 2..60."""
+    table = with_features(training_set(spark, sf_dir))
+    return elbow_facts(elbow_curve(table), table)
+
+
+def elbow_points_roundtrip(spark, sf_dir):
+    root = work_path(spark, "elbow")
+    snapshot_and_sweep(daily(spark, sf_dir), root, range(2, 7))
+    table = with_features(read_training_set(spark, f"{root}/training_set"))
+    return elbow_facts(spark.read.parquet(f"{root}/elbow_points"), table)
 
 
 def elbow_curve_pinned_query(spark, sf_dir):
@@ -182,8 +224,8 @@ def cluster_boundaries_query(spark, sf_dir):
 
 
 def cluster_boundaries_narrowed(spark, sf_dir):
-    """The way taken by clusters too large for one task, forced by a low limit."""
-    return boundaries(spark, sf_dir, max_group_rows=50, bins=16)
+    """Many rounds, each with few parts."""
+    return boundaries(spark, sf_dir, bins=4)
 
 
 def cluster_boundaries_approx(spark, sf_dir):
@@ -278,16 +320,20 @@ def history_anomalies(spark, sf_dir):
     return rounded_records(read_anomalies(spark, found))
 
 
-def labelled_csv(spark, sf_dir) -> DataFrame:
-    """Features with a deterministic truth, written as quoted CSV and read back."""
-    path = work_path(spark, "labelled")
+def write_labelled_csv(table: DataFrame, path: str) -> None:
+    """Features with a deterministic truth, as quoted CSV."""
     odd = F.col("n_octetos") > 20000
-    labelled = daily(spark, sf_dir).select(
+    labelled = table.select(
         "src_ip", "dst_ip", "tsegm_inittime", "week_day", "day", *FEATURES,
         odd.cast("string").alias("anomaly"),
         F.when(odd, "volume").alias("anomaly_type"),
         F.when(odd, "n_octetos").alias("anomalous_var"))
     labelled.write.csv(path, header=True, quoteAll=True, nullValue="", emptyValue="")
+
+
+def labelled_csv(spark, sf_dir) -> DataFrame:
+    path = work_path(spark, "labelled")
+    write_labelled_csv(daily(spark, sf_dir), path)
     return read_labelled_csv(spark, path)
 
 
@@ -295,47 +341,108 @@ def labelled_csv_parse(spark, sf_dir):
     return labelled_csv(spark, sf_dir)
 
 
-def labelled_scoring(spark, sf_dir):
-    detector, _ = pinned_detector(spark, sf_dir)
-    scored = score_labelled(labelled_csv(spark, sf_dir), detector)
+def labelled_csv_rejected(spark, sf_dir):
+    """Rows with text or NaN for a number, by their keys."""
+    path = work_path(spark, "labelled")
+    table = daily(spark, sf_dir)
+    bad = (F.when(F.col("n_paquets") % 3 == 0, "oops").when(F.col("n_paquets") % 3 == 1, "NaN")
+           .otherwise(F.col("n_paquets").cast("string")))
+    write_labelled_csv(table.withColumn("n_paquets", bad), path)
+    fields = F.split(F.regexp_replace("row", '"', ""), ",")
+    return rejected_labelled_rows(spark, path).select(
+        *[fields[i].alias(c) for i, c in enumerate(
+            ("src_ip", "dst_ip", "tsegm_inittime", "week_day", "day"))])
+
+
+def labelled_columns(scored: DataFrame) -> DataFrame:
     return scored.select(
         *KEYS, vector_text(F.col("features")).alias("features"), "predictions",
         rounded("distances").alias("distances"), rounded("boundary").alias("boundary"),
         "pred_anom", *LABELS)
 
 
-def stored_lines(spark, sf_dir) -> str:
+def labelled_scoring(spark, sf_dir):
+    detector, _ = pinned_detector(spark, sf_dir)
+    return labelled_columns(score_labelled(labelled_csv(spark, sf_dir), detector))
+
+
+def labelled_result_roundtrip(spark, sf_dir):
+    detector, _ = pinned_detector(spark, sf_dir)
+    path = work_path(spark, "labelled_result")
+    score_labelled(labelled_csv(spark, sf_dir), detector).write.parquet(path)
+    return labelled_columns(spark.read.parquet(path))
+
+
+def flow_json_typed(spark, sf_dir):
+    """Numbers as text and with a fraction give the same events."""
+    return netflow_events(typed_lines(events_table(spark, sf_dir)))
+
+
+def flow_json_rejected(spark, sf_dir):
+    lines = events_table(spark, sf_dir).selectExpr(f"{ODD_LINE.format(**SPARK_WORDS)} AS value")
+    return rejected_lines(lines)
+
+
+def compacted_table_roundtrip(spark, sf_dir):
+    """Four loads of every day; some days rewritten as one load, one of them twice."""
+    path = work_path(spark, "features")
+    table = daily(spark, sf_dir)
+    share = F.pmod(F.xxhash64("src_ip"), F.lit(4))
+    for load in range(4):
+        append_features(table.where(share == load), path, f"load{load}")
+    for day in (FIRST_DAY, LAST_DAY, FIRST_DAY):
+        compact_day(spark, path, day, work_path(spark, "staging"))
+    return read_features(spark, path)
+
+
+def stored_lines(spark, sf_dir, cuts: list[str] = CUTS) -> str:
+    """A folder of one file per part, in order of time."""
     path = work_path(spark, "lines")
-    flow_lines(spark, sf_dir).write.text(path)
+    for part in line_parts(flow_lines(spark, sf_dir), cuts):
+        part.coalesce(1).write.mode("append").text(path)
     return path
 
 
+def line_stream(spark, sf_dir, cuts: list[str] = CUTS) -> DataFrame:
+    """The lines as a stream of one file per micro-batch."""
+    return file_lines(spark, stored_lines(spark, sf_dir, cuts), True, max_files_per_trigger=1)
+
+
+def label_of_each_batch() -> Callable[[], str]:
+    labels = iter(CUT_LABELS)
+    return lambda: next(labels)
+
+
 def stream_features_available_now(spark, sf_dir):
-    lines = file_lines(spark, stored_lines(spark, sf_dir), stream=True)
+    """Four micro-batches, each an interval with a label of its own."""
     table = work_path(spark, "features")
-    capture_features(lines, table, work_path(spark, "checkpoint"),
-                     available_now=True).awaitTermination()
+    capture_features(line_stream(spark, sf_dir), table, work_path(spark, "checkpoint"),
+                     label_of_each_batch(), available_now=True).awaitTermination()
     return read_features(spark, table)
 
 
-def stream_features_windowed(spark, sf_dir):
-    """Windows that the watermark has closed when the input ends."""
-    schema = events_table(spark, sf_dir).schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir))
-    events = flows_of(stream)
+def stream_features_windowed(spark, sf_dir, cuts: list[str] = CUTS):
+    """Day windows over several micro-batches; those closed when the input ends."""
+    events = netflow_events(line_stream(spark, sf_dir, cuts))
     table = work_path(spark, "windowed")
-    capture_windows(events, table, work_path(spark, "checkpoint"),
+    capture_windows(events, table, work_path(spark, "checkpoint"), DAY,
                     available_now=True).awaitTermination()
     return read_features(spark, table)
 
 
 def stream_score_available_now(spark, sf_dir):
     detector, _ = pinned_detector(spark, sf_dir)
-    lines = file_lines(spark, stored_lines(spark, sf_dir), stream=True)
     table = work_path(spark, "anomalies")
-    score_stream(lines, detector, table, work_path(spark, "checkpoint"), bucket_seconds=DAY,
-                 available_now=True).awaitTermination()
+    score_stream(line_stream(spark, sf_dir), detector, table, work_path(spark, "checkpoint"),
+                 label_of_each_batch(), available_now=True).awaitTermination()
+    return rounded_records(read_anomalies(spark, table))
+
+
+def stream_score_windowed(spark, sf_dir, cuts: list[str] = CUTS):
+    detector, _ = pinned_detector(spark, sf_dir)
+    table = work_path(spark, "anomalies")
+    score_windows(netflow_events(line_stream(spark, sf_dir, cuts)), detector, table,
+                  work_path(spark, "checkpoint"), DAY, available_now=True).awaitTermination()
     return rounded_records(read_anomalies(spark, table))
 
 
@@ -346,19 +453,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "na_fill_zero": na_fill_zero,
     "netflow_prefilter": netflow_prefilter,
     "flow_json_parse": flow_json_parse,
+    "flow_json_typed": flow_json_typed,
+    "flow_json_rejected": flow_json_rejected,
     "history_day_range": history_day_range,
     "partitioned_table_roundtrip": partitioned_table_roundtrip,
+    "compacted_table_roundtrip": compacted_table_roundtrip,
     "training_set_roundtrip": training_set_roundtrip,
     "feature_vector": feature_vector,
     "scaler_stats": scaler_stats,
     "standardized_features": standardized_features,
     "cluster_fit": cluster_fit,
     "cluster_fit_pinned": cluster_fit_pinned,
+    "train_then_score": train_then_score,
+    "detector_from_model": detector_from_model,
     "nearest_center": nearest_center_query,
     "center_distance": center_distance,
     "clustering_cost": clustering_cost_query,
     "elbow_curve": elbow_curve_query,
     "elbow_curve_pinned": elbow_curve_pinned_query,
+    "elbow_points_roundtrip": elbow_points_roundtrip,
     "cluster_boundaries": cluster_boundaries_query,
     "cluster_boundaries_narrowed": cluster_boundaries_narrowed,
     "cluster_boundaries_approx": cluster_boundaries_approx,
@@ -373,8 +486,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_then_score_pinned": train_then_score_pinned,
     "history_anomalies": history_anomalies,
     "labelled_csv_parse": labelled_csv_parse,
+    "labelled_csv_rejected": labelled_csv_rejected,
     "labelled_scoring": labelled_scoring,
+    "labelled_result_roundtrip": labelled_result_roundtrip,
     "stream_features_available_now": stream_features_available_now,
     "stream_features_windowed": stream_features_windowed,
     "stream_score_available_now": stream_score_available_now,
+    "stream_score_windowed": stream_score_windowed,
 }

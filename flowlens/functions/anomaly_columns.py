@@ -3,8 +3,9 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Event type, and the exclusive upper limits of the synthetic numbers.
-EVENT_TYPE = "KMEANS_BASE"
+#: Give another text where stored anomalies have one.
+EVENT_TYPE = "CONNECTION_ANOMALY"
+# The exclusive upper limits of the synthetic numbers.
 PORT_LIMIT = 91234
 PROTOCOL_LIMIT = 25
 

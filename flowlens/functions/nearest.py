@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def nearest_center(vector: Column, centers: list[list[float]]) -> Column:
     """struct<prediction, distance>: id of and Euclidean distance to the nearest centre.
 
-    Equal distances go to the lowest id. The function is declared non-deterministic so that
+    Equal distances go to the lowest id. A vector with a NaN has neither: both are null. The function is declared non-deterministic so that
     Spark never copies it into a pushed-down filter and evaluates it twice; filter on keys
     before the assignment. Only the vector column travels to the Arrow
     worker; each batch is a few array operations per centre. Written with higher-order
@@ -29,7 +29,9 @@ def nearest_center(vector: Column, centers: list[list[float]]) -> Column:
             closer = squared < best
             best[closer] = squared[closer]
             label[closer] = i
+        unknown = np.isnan(points).any(axis=1)
         return pa.StructArray.from_arrays(
-            [pa.array(label), pa.array(np.sqrt(best))], names=["prediction", "distance"])
+            [pa.array(label, mask=unknown), pa.array(np.sqrt(best), mask=unknown)],
+            names=["prediction", "distance"])
 
     return nearest.asNondeterministic()(vector)

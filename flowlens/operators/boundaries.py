@@ -7,8 +7,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_GROUP_ROWS = 200_000
-BINS = 4096
+#: Quantiles that a round takes of an interval, and their accuracy.
+BINS, ACCURACY = 200, 10_000
+MAX_CLUSTERS = 10_000
 
 
 def check_percentile(percentile: int) -> None:
@@ -17,18 +18,18 @@ def check_percentile(percentile: int) -> None:
 
 
 def cluster_boundaries(scored: DataFrame, percentile: int, method: str = "exact",
-                       accuracy: int = 10_000, max_group_rows: int = MAX_GROUP_ROWS,
-                       bins: int = BINS) -> DataFrame:
+                       accuracy: int = 10_000, bins: int = BINS) -> DataFrame:
     """(prediction, boundary) from rows with ``prediction`` and ``distance``.
 
     ``exact`` interpolates between the two neighbouring distances. Spark's ``percentile``
-    holds every distinct value of a group in one task, so it is used only when the largest
-    cluster is known to be small; larger ones are narrowed down by histograms first.
-    ``approx`` is one pass with a sketch of bounded size.
+    holds every distinct value of a group in one task; here the wanted ranks are closed in
+    on, round by round, the same way for clusters of any size. ``approx`` is one pass with
+    a sketch of bounded size. Null distances do not count; a cluster without any other has
+    no row.
     """
     check_percentile(percentile)
     share = percentile / 100
-    pairs = scored.select("prediction", "distance")
+    pairs = scored.select("prediction", "distance").where("distance IS NOT NULL")
     if method == "approx":
         return pairs.groupBy("prediction").agg(
             F.percentile_approx("distance", share, accuracy).alias("boundary"))
@@ -38,14 +39,11 @@ def cluster_boundaries(scored: DataFrame, percentile: int, method: str = "exact"
     pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = pairs.groupBy("prediction").agg(
-            F.count("distance").alias("n"),
-            F.min("distance").alias("low"), F.max("distance").alias("high")).collect()
-        if all(r["n"] <= max_group_rows for r in sizes):
-            rows = (pairs.groupBy("prediction")
-                    .agg(F.percentile("distance", share).alias("boundary")).collect())
-            found = [(r["prediction"], r["boundary"]) for r in rows]
-        else:
-            found = _select_ranks(pairs, sizes, share, max_group_rows, bins)
+            F.count("distance").alias("n"), F.min("distance").alias("low"),
+            F.max("distance").alias("high")).limit(MAX_CLUSTERS + 1).collect()
+        if len(sizes) > MAX_CLUSTERS:
+            raise ValueError(f"more than {MAX_CLUSTERS} clusters; is prediction a cluster id?")
+        found = _select_ranks(pairs, sizes, share, bins)
     finally:
         pairs.unpersist()
     return scored.sparkSession.createDataFrame(found, "prediction int, boundary double")
@@ -62,34 +60,24 @@ class _Target:
     n: int
 
 
-def _select_ranks(pairs: DataFrame, sizes: list, share: float, max_group_rows: int,
+def _select_ranks(pairs: DataFrame, sizes: list, share: float,
                   bins: int) -> list[tuple[int, float]]:
-    """Exact ranks of large clusters.
+    """Exact values at the two ranks around each cluster's percentile.
 
-    Every round counts the values of each wanted interval in ``bins`` equal parts and goes
-    on with the part that holds the rank. A part knows its smallest and largest value, so
-    one repeated value ends the search at once, and every round cuts off at least one end.
-    A round moves at most ``bins`` counts per interval and task. Intervals of at most
-    ``max_group_rows`` rows are sorted.
+    A round cuts each interval around the wanted rank (see ``_narrow``) and goes on with
+    the part that holds it, until its smallest and largest value are one. A round leaves
+    about 3 / bins of the rows, or a single repeated value.
     """
-    active, position = {}, {}
+    active, position, values = {}, {}, {}
     for r in sizes:
-        if r["n"]:
-            position[r["prediction"]] = at = (r["n"] - 1) * share
-            for rank in {math.floor(at), math.ceil(at)}:
-                active[r["prediction"], rank] = _Target(
-                    r["prediction"], rank, r["low"], r["high"], r["n"])
-    values = {}
+        position[r["prediction"]] = at = (r["n"] - 1) * share
+        for rank in {math.floor(at), math.ceil(at)}:
+            active[r["prediction"], rank] = _Target(r["prediction"], rank, r["low"], r["high"], r["n"])
     while active:
-        for key, t in list(active.items()):
-            if t.low == t.high:
-                values[key] = t.low
-                del active[key]
-        wide = {k: t for k, t in active.items() if t.n > max_group_rows}
-        short = {k: t for k, t in active.items() if t.n <= max_group_rows}
-        if short:
-            values |= _sorted_ranks(pairs, short)
-        active = _narrow(pairs, wide, bins) if wide else {}
+        values |= {key: t.low for key, t in active.items() if t.low == t.high}
+        active = {key: t for key, t in active.items() if t.low != t.high}
+        if active:
+            active = _narrow(pairs, active, bins)
 
     result = []
     for prediction, at in position.items():
@@ -99,48 +87,55 @@ def _select_ranks(pairs: DataFrame, sizes: list, share: float, max_group_rows: i
     return result
 
 
-def _intervals(pairs: DataFrame, targets: dict) -> DataFrame:
-    """Rows inside the targets' intervals; two targets with one interval share its rows."""
-    wanted = {(t.prediction, t.low, t.high) for t in targets.values()}
-    table = pairs.sparkSession.createDataFrame(
-        sorted(wanted), "prediction int, low double, high double")
-    # At most two intervals per cluster.
-    return pairs.join(F.broadcast(table), "prediction").where(
+INTERVAL = ["prediction", "low", "high"]
+
+
+def _at(pairs: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Rows inside the intervals, at most two per cluster."""
+    return pairs.join(F.broadcast(intervals), "prediction").where(
         F.col("distance").between(F.col("low"), F.col("high")))
 
 
-def _sorted_ranks(pairs: DataFrame, targets: dict) -> dict:
-    order = Window.partitionBy("prediction", "low", "high").orderBy("distance")
-    wanted = pairs.sparkSession.createDataFrame(
-        [(t.prediction, t.low, t.high, t.rank, k[1]) for k, t in targets.items()],
-        "prediction int, low double, high double, rank int, target long")
-    rows = (_intervals(pairs, targets)
-            .withColumn("rank", F.row_number().over(order) - 1)
-            .join(F.broadcast(wanted), ["prediction", "low", "high", "rank"])
-            .select("prediction", "target", "distance").collect())
-    return {(r["prediction"], r["target"]): r["distance"] for r in rows}
+def _edges(pairs: DataFrame, targets: dict, bins: int) -> DataFrame:
+    """(interval, edges): approximate quantiles on either side of the wanted ranks."""
+    spark = pairs.sparkSession
+    wanted = sorted({(t.prediction, t.low, t.high) for t in targets.values()})
+    intervals = spark.createDataFrame(wanted, "prediction int, low double, high double")
+    shares = [i / bins for i in range(bins + 1)]
+    sketches = {tuple(r[:3]): r[3] for r in _at(pairs, intervals).groupBy(*INTERVAL).agg(
+        F.percentile_approx("distance", shares, ACCURACY)).collect()}
+    chosen: dict[tuple, set] = {}
+    for t in targets.values():
+        key = (t.prediction, t.low, t.high)
+        at = t.rank * bins // max(1, t.n - 1)
+        chosen.setdefault(key, set()).update(sketches[key][max(0, at - 1):at + 3])
+    return spark.createDataFrame([(*key, sorted(edges)) for key, edges in chosen.items()],
+                                 "prediction int, low double, high double, edges array<double>")
 
 
 def _narrow(pairs: DataFrame, targets: dict, bins: int) -> dict:
-    part = F.floor((F.col("distance") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
-    counts = (_intervals(pairs, targets)
-              .withColumn("part", F.least(part, F.lit(bins - 1)))
-              .groupBy("prediction", "low", "high", "part")
-              .agg(F.count(F.lit(1)).alias("n"), F.min("distance").alias("part_low"),
-                   F.max("distance").alias("part_high")))
-    before = (Window.partitionBy("prediction", "low", "high").orderBy("part")
+    """The part of each target's interval that holds its rank.
+
+    Up to four edges cut an interval around a rank. Each edge is a part of its own, and so
+    are the values between, below and above: a value that many rows share is an edge and
+    ends the search. Counts are combined in every task.
+    """
+    placed = _at(pairs, _edges(pairs, targets, bins)).withColumn(
+        "part", F.size(F.filter("edges", lambda e: e < F.col("distance"))) * 2
+        + F.array_contains("edges", F.col("distance")).cast("int"))
+    counts = placed.groupBy(*INTERVAL, "part").agg(
+        F.count(F.lit(1)).alias("n"), F.min("distance").alias("part_low"),
+        F.max("distance").alias("part_high"))
+    before = (Window.partitionBy(*INTERVAL).orderBy("part_low")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     wanted = pairs.sparkSession.createDataFrame(
         [(t.prediction, t.low, t.high, t.rank, k[1]) for k, t in targets.items()],
         "prediction int, low double, high double, rank long, target long")
-    rows = (counts.withColumn("upto", F.sum("n").over(before))
-            .join(F.broadcast(wanted), ["prediction", "low", "high"])
-            .where((F.col("rank") < F.col("upto"))
-                   & (F.col("rank") >= F.col("upto") - F.col("n")))
-            .collect())
-    return {
-        (r["prediction"], r["target"]): _Target(
-            r["prediction"], r["rank"] - (r["upto"] - r["n"]),
-            r["part_low"], r["part_high"], r["n"])
-        for r in rows
-    }
+    found = (counts.withColumn("upto", F.sum("n").over(before))
+             .join(F.broadcast(wanted), INTERVAL)
+             .where((F.col("rank") < F.col("upto"))
+                    & (F.col("rank") >= F.col("upto") - F.col("n")))
+             .collect())
+    return {(r["prediction"], r["target"]): _Target(
+        r["prediction"], r["rank"] - (r["upto"] - r["n"]), r["part_low"], r["part_high"], r["n"])
+        for r in found}

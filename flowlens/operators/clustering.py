@@ -40,7 +40,7 @@ def centers_from_table(table: DataFrame) -> list[list[float]]:
 
 def fit_clusters(table: DataFrame, k: int, column: str = "normalizedFeatures",
                  seed: int = SEED, max_iter: int = 100, init_steps: int = 5) -> Clusters:
-    """Parallel k-means; may return fewer centres when there are fewer distinct rows.
+    """Centroid clustering by Spark ML; may return fewer centres when there are fewer distinct rows.
 
     Give it a stored table rather than a cached one: Spark ML then keeps its own vectors
     and norms in memory (spilling to disk) for the iterations, and an executor lost on the

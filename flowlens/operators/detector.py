@@ -1,14 +1,19 @@
 """A trained detector: scaler, centres and boundaries; scores connection features."""
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions import anomaly_columns as ac
-from flowlens.operators.clustering import assign, centers_from_table, centers_table
+from flowlens.operators.clustering import assign, load_ml_centers
 from flowlens.operators.scaling import Scaler, standardize
-from flowlens.schemas import ANOMALY_COLUMNS, DOCUMENT_FIELDS
+from flowlens.schemas import ANOMALY_COLUMNS, DOCUMENT_FIELDS, FEATURES
+from flowlens.workspace import exists
+
+PARTS = "part string, id int, idx int, value double"
 
 
 @dataclass(frozen=True)
@@ -43,22 +48,75 @@ class Detector:
         """The anomaly table's rows."""
         return anomaly_records(self.outliers(table), event_type)
 
-    def save(self, spark: SparkSession, path: str, mode: str = "errorifexists") -> None:
-        tables = {
-            "scaler": self.scaler.to_table(spark),
-            "centers": centers_table(spark, self.centers),
-            "boundaries": boundaries_table(spark, self.boundaries),
-        }
-        for name, table in tables.items():
-            table.coalesce(1).write.mode(mode).parquet(f"{path}/{name}")
+    def parts(self, spark: SparkSession) -> DataFrame:
+        """All numbers as rows (part, id, idx, value)."""
+        rows = [(name, 0, i, float(v)) for name, values in
+                (("mean", self.scaler.mean), ("std", self.scaler.std)) for i, v in enumerate(values)]
+        rows += [("center", i, j, float(v)) for i, c in enumerate(self.centers)
+                 for j, v in enumerate(c)]
+        rows += [("boundary", i, 0, float(v)) for i, v in self.boundaries.items()]
+        return spark.createDataFrame(rows, PARTS)
+
+    @staticmethod
+    def of_parts(rows: list) -> "Detector":
+        own = {name: {} for name in ("mean", "std", "center", "boundary")}
+        for r in rows:
+            own[r["part"]][r["id"], r["idx"]] = r["value"]
+        mean, std = (tuple(v for _, v in sorted(own[name].items())) for name in ("mean", "std"))
+        k = 1 + max((i for i, _ in own["center"]), default=-1)
+        centers = [[v for (i, _), v in sorted(own["center"].items()) if i == c] for c in range(k)]
+        if (len(mean), len(std)) != (len(FEATURES),) * 2 or not all(
+                len(c) == len(FEATURES) for c in centers):
+            raise ValueError("not a whole detector")
+        return Detector(Scaler(mean, std), centers,
+                        {i: v for (i, _), v in own["boundary"].items()})
+
+    def save(self, spark: SparkSession, path: str, mode: str = "errorifexists",
+             version: str | None = None) -> str:
+        """Add a version below ``path`` and return its name.
+
+        All parts are one file, which appears with the job's commit: a reader gets the old
+        version or the new one, whole, and a save that fails half-way leaves the old one.
+        ``overwrite`` adds a version beside the ones that are there.
+        """
+        if mode not in ("errorifexists", "overwrite"):
+            raise ValueError("mode must be 'errorifexists' or 'overwrite'")
+        table = f"{path.rstrip('/')}/versions"
+        if mode == "errorifexists" and exists(spark, table):
+            raise FileExistsError(f"a detector already exists at {path}")
+        version = version or new_version()
+        (self.parts(spark).withColumn("version", F.lit(version)).coalesce(1)
+         .write.mode("append").parquet(table))
+        return version
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, version: str | None = None) -> "Detector":
+        """The newest version, or the one named."""
+        table = spark.read.schema(f"version string, {PARTS}").parquet(
+            f"{path.rstrip('/')}/versions")
+        if version is None:
+            version = table.agg(F.max("version")).first()[0]
+        return Detector.of_parts(table.where(F.col("version") == version).collect())
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> "Detector":
-        rows = spark.read.parquet(f"{path}/boundaries").collect()
-        return Detector(
-            Scaler.from_table(spark.read.parquet(f"{path}/scaler")),
-            centers_from_table(spark.read.parquet(f"{path}/centers")),
-            {r["prediction"]: r["boundary"] for r in rows})
+    def from_model(spark: SparkSession, model_path: str, scaler: DataFrame,
+                   boundaries: DataFrame) -> "Detector":
+        """From a saved Spark ML model, a scaler table and a boundary table.
+
+        ``scaler`` has idx, mean and std; ``boundaries`` has prediction and boundary, at
+        most one row per cluster.
+        """
+        centers = load_ml_centers(model_path)
+        rows = boundaries.select("prediction", "boundary").limit(len(centers) + 1).collect()
+        found = {r["prediction"]: r["boundary"] for r in rows if r["boundary"] is not None}
+        if len(rows) > len(centers) or not set(found) <= set(range(len(centers))):
+            raise ValueError("boundaries do not belong to the model")
+        return Detector(Scaler.from_table(scaler), centers, found)
+
+
+def new_version() -> str:
+    """A name that sorts by time of making."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def boundaries_table(spark: SparkSession, boundaries: dict[int, float]) -> DataFrame:

@@ -3,13 +3,11 @@
 from pyspark.sql import DataFrame
 
 from flowlens.operators.detector import Detector
-from flowlens.schemas import LABELS
+from flowlens.schemas import LABELLED_RESULT
 
 
 def score_labelled(labelled: DataFrame, detector: Detector) -> DataFrame:
     """Keys, vectors, cluster, distance, boundary, ``pred_anom`` and the truth columns."""
     return (detector.flags(labelled)
             .withColumnsRenamed({"prediction": "predictions", "distance": "distances"})
-            .select("src_ip", "dst_ip", "tsegm_inittime", "week_day", "day", "features",
-                    "normalizedFeatures", "predictions", "distances", "boundary",
-                    "pred_anom", *LABELS))
+            .select(*LABELLED_RESULT))

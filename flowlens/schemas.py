@@ -58,6 +58,11 @@ DOCUMENT_FIELDS = [
     "src_port", "prediction", "src_ip", "dst_port", "dst_ip", "day",
 ]
 
+LABELLED_RESULT = [
+    "src_ip", "dst_ip", "tsegm_inittime", "week_day", "day", "features", "normalizedFeatures",
+    "predictions", "distances", "boundary", "pred_anom", *LABELS,
+]
+
 RAW_SCHEMA = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("sensor_type", "src_ip", "dst_ip", "end_time")]
     + [T.StructField(c, T.LongType()) for c in ("src_port", "dst_port")]

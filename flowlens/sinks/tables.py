@@ -2,9 +2,11 @@
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.workspace import remove
+
 
 def _write_load(table: DataFrame, path: str, load_id: str | None, partitions: list[str]) -> None:
     load_id = load_id or uuid.uuid4().hex
@@ -24,8 +26,29 @@ def append_features(table: DataFrame, path: str, load_id: str | None = None) ->
 
 
 def append_anomalies(anomalies: DataFrame, path: str, load_id: str | None = None) -> None:
-    """Append anomaly rows; the same load id replaces the same load."""
-    _write_load(anomalies.hint("rebalance"), path, load_id, [])
+    """Append anomaly rows, one folder per day and load; the same load id replaces its load."""
+    _write_load(anomalies.hint("rebalance", "day"), path, load_id, ["day"])
+
+
+def compact_day(spark: SparkSession, path: str, day: str, staging: str) -> None:
+    """Rewrite a closed day of a feature or anomaly table as one load of few large files.
+
+    The rows go to ``staging`` first. Then one job replaces the day's folder, and the
+    staged copy is removed. A reader during that job sees the day incomplete; if the job
+    fails, run ``restore_day`` on the staged copy.
+    """
+    day_path = f"{path.rstrip('/')}/day={day}"
+    spark.read.option("basePath", day_path).parquet(day_path).drop("load_id").hint(
+        "rebalance").write.parquet(staging)
+    restore_day(spark, path, day, staging)
+
+
+def restore_day(spark: SparkSession, path: str, day: str, staging: str) -> None:
+    """Replace a day by its staged rows and remove the staged copy."""
+    rows = spark.read.parquet(staging).withColumn("load_id", F.lit(f"compacted-{uuid.uuid4().hex}"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "load_id").parquet(f"{path.rstrip('/')}/day={day}")
+    remove(spark, staging)
 
 
 def write_table(table: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:

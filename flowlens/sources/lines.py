@@ -1,13 +1,20 @@
 """Flow events as text lines: message queue, files, prefilter and JSON parsing."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowlens.schemas import RAW_SCHEMA
 
 # Fixed value: the text that marks a flow line.
 NETFLOW_MARK = '"sensor_type":"netflow"'
 
+BROKEN = "_broken"
+#: All fields as text, whatever JSON type they have, and the line itself if it is no JSON.
+TEXT_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.StringType()) for f in [*RAW_SCHEMA, T.StructField(BROKEN, T.StringType())]])
+NUMBERS = [f.name for f in RAW_SCHEMA if isinstance(f.dataType, T.LongType)]
+
 
 def kafka_options(brokers: str, topics: str, starting_offsets: str = "latest",
                   max_offsets_per_trigger: int | None = None) -> dict[str, str]:
@@ -47,15 +54,44 @@ def keep_netflow(lines: DataFrame) -> DataFrame:
     return lines.where(F.col("value").contains(NETFLOW_MARK))
 
 
+def whole_number(name: str) -> Column:
+    """A number given as JSON number or text, with or without a zero fraction."""
+    decimal = f"try_cast({name} AS DECIMAL(38, 10))"
+    return F.expr(f"CASE WHEN {decimal} % 1 = 0 THEN try_cast({decimal} AS BIGINT) END")
+
+
+def unreadable() -> Column:
+    """Why a parsed line is no event: null, 'line' (no JSON), or the field's name."""
+    reason = F.when(F.col(BROKEN).isNotNull(), "line")
+    for name in NUMBERS:
+        reason = reason.when(F.col(name).isNotNull() & whole_number(name).isNull(), name)
+    return reason
+
+
+def parsed(lines: DataFrame) -> DataFrame:
+    options = {"columnNameOfCorruptRecord": BROKEN}
+    return lines.select("value", F.from_json("value", TEXT_SCHEMA, options).alias("event"))
+
+
 def parse_events(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Lines to columns; absent fields are null.
 
-    The substring test also passes lines that only quote the mark; ``strict`` keeps the
-    lines whose parsed ``sensor_type`` is ``netflow``.
+    Numbers may stand as text or with a zero fraction. A line that is no JSON, or with a
+    number that cannot be read, is no event; ``rejected_lines`` gives those. The substring
+    test also passes lines that only quote the mark; ``strict`` keeps the lines whose
+    parsed ``sensor_type`` is ``netflow``.
     """
-    events = lines.select(F.from_json("value", RAW_SCHEMA).alias("event")).select("event.*")
+    events = parsed(lines).select("event.*").where(unreadable().isNull())
+    events = events.select(*[(whole_number(f.name) if f.name in NUMBERS else F.col(f.name))
+                             .alias(f.name) for f in RAW_SCHEMA])
     return events.where(F.col("sensor_type") == "netflow") if strict else events
 
 
 def netflow_events(lines: DataFrame, strict: bool = False) -> DataFrame:
     return parse_events(keep_netflow(lines), strict)
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """(value, reason) of the marked lines that ``netflow_events`` leaves out as unreadable."""
+    rows = parsed(keep_netflow(lines)).select("value", "event.*")
+    return rows.select("value", unreadable().alias("reason")).where("reason IS NOT NULL")

@@ -1,13 +1,34 @@
 """Run a function on every micro-batch of a stream."""
 
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 INTERVAL = "300 seconds"
+#: Held while a stream starts and copies the session's settings, so that no stream picks
+#: up values that another one sets for a moment.
+STARTING = threading.RLock()
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Set session values for the start of a stream."""
+    with STARTING:
+        before = {name: spark.conf.get(name, None) for name in values}
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        try:
+            yield
+        finally:
+            for name, value in before.items():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def start_batches(stream: DataFrame, handle: Callable[[DataFrame, str], None], checkpoint: str,
@@ -37,8 +58,9 @@ def start_batches(stream: DataFrame, handle: Callable[[DataFrame, str], None], c
                 batch.unpersist()
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    query = (stream.writeStream.foreachBatch(run)
-             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    with STARTING:
+        query = (stream.writeStream.foreachBatch(run)
+                 .option("checkpointLocation", checkpoint).trigger(**trigger).start())
     query_id.append(query.id)
     started.set()
     return query

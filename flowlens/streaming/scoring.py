@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.operators.connections import connection_features
@@ -10,28 +10,52 @@ from flowlens.operators.detector import Detector
 from flowlens.plans.history import store_anomalies
 from flowlens.sources.lines import netflow_events
 from flowlens.streaming.batches import start_batches
+from flowlens.streaming.windowed import start_windows, windowed_features
 
+Send = Callable[[list[str]], None]
 
-def score_stream(lines: DataFrame, detector: Detector | str, anomalies_path: str,
-                 checkpoint: str, bucket_seconds: int = 300,
-                 segment: Callable[[], str] | None = None,
-                 send: Callable[[list[str]], None] | None = None,
-                 refresh_each_batch: bool = False, strict: bool = False,
-                 **options) -> StreamingQuery:
-    """Score every micro-batch and store its anomalies.
 
-    ``detector`` may be a path; it is loaded once, or with ``refresh_each_batch`` before
-    each batch, always as a whole, so a scaler never meets another model's centres.
+def detector_source(spark: SparkSession, detector: Detector | str,
+                    refresh_each_batch: bool) -> Callable[[], Detector]:
+    """The detector of a batch: loaded once or, from a path, before each batch.
+
+    A stored detector is one commit, so a scaler never meets another model's centres even
+    if a new version is saved meanwhile.
     """
-    spark = lines.sparkSession
     if refresh_each_batch and not isinstance(detector, str):
         raise ValueError("refresh_each_batch needs the detector's path")
+    if refresh_each_batch:
+        return lambda: Detector.load(spark, detector)
     loaded = Detector.load(spark, detector) if isinstance(detector, str) else detector
+    return lambda: loaded
+
+
+def score_stream(lines: DataFrame, detector: Detector | str, anomalies_path: str,
+                 checkpoint: str, segment: Callable[[], str], send: Send | None = None,
+                 refresh_each_batch: bool = False, strict: bool = False,
+                 **options) -> StreamingQuery:
+    """Score every micro-batch as one interval, labelled by ``segment``."""
+    current = detector_source(lines.sparkSession, detector, refresh_each_batch)
 
     def handle(events: DataFrame, load_id: str) -> None:
-        current = Detector.load(spark, detector) if refresh_each_batch else loaded
-        label = segment() if segment else None
-        features = connection_features(events, bucket_seconds, label)
-        store_anomalies(current.anomalies(features), anomalies_path, load_id, send)
+        features = connection_features(events, segment=segment())
+        store_anomalies(current().anomalies(features), anomalies_path, load_id, send)
 
     return start_batches(netflow_events(lines, strict), handle, checkpoint, **options)
+
+
+def score_windows(events: DataFrame, detector: Detector | str, anomalies_path: str,
+                  checkpoint: str, bucket_seconds: int = 300, delay: str = "10 minutes",
+                  state_partitions: int | None = None, send: Send | None = None,
+                  refresh_each_batch: bool = False, **options) -> StreamingQuery:
+    """Score every event-time window once, when it is complete.
+
+    One row per address pair and window, however the input was cut into micro-batches.
+    """
+    current = detector_source(events.sparkSession, detector, refresh_each_batch)
+
+    def handle(features: DataFrame, load_id: str) -> None:
+        store_anomalies(current().anomalies(features), anomalies_path, load_id, send)
+
+    return start_windows(windowed_features(events, bucket_seconds, delay), handle, checkpoint,
+                         state_partitions, **options)

@@ -5,15 +5,16 @@ from pyspark.sql import functions as F
 
 from flowlens.catalog.flows import flows
 from flowlens.operators.connections import connection_features
-from flowlens.operators.detector import Detector, anomaly_documents
+from flowlens.functions.anomaly_columns import EVENT_TYPE
+from flowlens.operators.detector import Detector, anomaly_documents, boundaries_table
 from flowlens.operators.scaling import Scaler
 from flowlens.plans.elbow import snapshot_and_sweep
 from flowlens.plans.evaluation import score_labelled
 from flowlens.plans.history import score_history
-from flowlens.plans.learning import detector_path, train
+from flowlens.plans.learning import detector_path, run_path, train
 from flowlens.schemas import ANOMALY_COLUMNS, DOCUMENT_FIELDS, LABELS
 from flowlens.sinks.documents import http_sender, send_documents
-from flowlens.sinks.tables import append_features, write_table
+from flowlens.sinks.tables import append_anomalies, append_features, compact_day, write_table
 from flowlens.sources.tables import read_anomalies, read_features
 from test_model import feature_rows
 
@@ -40,7 +41,7 @@ def test_records(spark):
     assert first == again and len({r.id for r in first}) == 2
     row = first[0]
     assert list(row.asDict()) == ANOMALY_COLUMNS
-    assert (row.type, row.timestamp, row.day) == ("KMEANS_BASE", "2024-01-02 00:00:00",
+    assert (row.type, row.timestamp, row.day) == (EVENT_TYPE, "2024-01-02 00:00:00",
                                                   "2024-01-02")
     assert row.features.startswith("[4.0,16.0,1.0,") and row.features.endswith(",1.0]")
     assert 0 <= row.src_port < 91234 and 0 <= row.dst_port < 91234 and 0 <= row.protocol < 25
@@ -105,10 +106,16 @@ def test_train_saves_and_loads(spark, sf_dir, tmp_path):
     assert path.endswith("detector_k3_p90")
     loaded = Detector.load(spark, path)
     assert loaded == trained
-    assert spark.read.parquet(f"{path}/distances").count() == table.count()
+    version = spark.read.parquet(f"{path}/versions").first().version
+    assert spark.read.parquet(f"{run_path(path, version)}/distances").count() == table.count()
     with pytest.raises(Exception, match="(?i)already exists"):
         train(table, 3, 90, root, max_iter=1)
-    train(table, 3, 90, root, mode="overwrite", max_iter=1)
+    second = train(table, 3, 90, root, mode="overwrite", max_iter=1)
+    assert Detector.load(spark, path) == second and Detector.load(spark, path, version) == trained
+    built = Detector.from_model(spark, f"{run_path(path, version)}/model",
+                                trained.scaler.to_table(spark),
+                                boundaries_table(spark, trained.boundaries))
+    assert built == trained
     share = loaded.outliers(table).count() / table.count()
     assert 0.05 < share < 0.15
 
@@ -155,3 +162,55 @@ def test_labelled_scoring_columns(spark):
     rows = score_labelled(table, DETECTOR).orderBy("src_ip").collect()
     assert [r.pred_anom for r in rows] == [False, True]
     assert list(rows[0].asDict())[-4:] == ["pred_anom", *LABELS]
+
+
+def test_a_save_that_fails_leaves_the_old_detector(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "model")
+    DETECTOR.save(spark, path)
+    other = Detector(PLAIN, [[1.0] * 20], {0: 9.0})
+    bad = F.raise_error(F.lit("stopped")).cast("double")
+    whole = Detector.parts
+    monkeypatch.setattr(Detector, "parts", lambda self, s: whole(self, s).withColumn(
+        "value", F.when(F.col("part") == "boundary", bad).otherwise(F.col("value"))))
+    with pytest.raises(Exception, match="stopped"):
+        other.save(spark, path, "overwrite")
+    assert Detector.load(spark, path) == DETECTOR
+    monkeypatch.undo()
+    reader = spark.read.parquet(f"{path}/versions")
+    other.save(spark, path, "overwrite")
+    assert Detector.load(spark, path) == other and reader.count() == len(whole(DETECTOR, spark).collect())
+
+
+def test_parts_must_be_whole(spark):
+    rows = [r for r in DETECTOR.parts(spark).collect() if (r.part, r.idx) != ("center", 19)]
+    with pytest.raises(ValueError):
+        Detector.of_parts(rows)
+
+
+def test_boundaries_must_fit_the_model(spark, tmp_path):
+    from flowlens.operators.clustering import fit_clusters
+    from test_model import vectors
+    path = str(tmp_path / "ml")
+    fit_clusters(vectors(spark, [[0.0] * 20, [9.0] * 20]), 2).model.save(path)
+    with pytest.raises(ValueError):
+        Detector.from_model(spark, path, PLAIN.to_table(spark), boundaries_table(spark, {5: 1.0}))
+
+
+def test_anomaly_days_prune_folders_and_compact(spark, tmp_path):
+    path = str(tmp_path / "found")
+    table = feature_rows(spark, [4, 5, 6, 7])
+    for load in range(3):
+        for day in ("2024-01-02", "2024-01-03"):
+            append_anomalies(DETECTOR.anomalies(table.withColumn("day", F.lit(day).cast("date"))),
+                             path, f"{load}{day}")
+    before = sorted(read_anomalies(spark, path).collect())
+    for name in ("a", "b"):
+        compact_day(spark, path, "2024-01-02", str(tmp_path / name))
+        assert sorted(read_anomalies(spark, path).collect()) == before
+        assert not (tmp_path / name).exists()
+    assert len(list((tmp_path / "found" / "day=2024-01-02").glob("load_id=*"))) == 1
+    assert len(list((tmp_path / "found" / "day=2024-01-03").glob("load_id=*"))) == 3
+    some = read_anomalies(spark, path, "2024-01-03", "2024-01-09")
+    assert some.count() == len(before) // 2
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowlens.catalog.facts import elbow_facts, fit_facts, rank_facts
 from flowlens.operators.boundaries import cluster_boundaries
 from flowlens.operators.clustering import (
     assign, centers_from_table, centers_table, clustering_cost, elbow_curve, first_centers,
@@ -148,9 +149,9 @@ GROUPS = {
 
 
 @pytest.mark.parametrize("percentile", [1, 5, 50, 92, 99])
-@pytest.mark.parametrize("limit", [10_000, 40, 1])
-def test_exact_boundaries(spark, percentile, limit):
-    table = cluster_boundaries(scored(spark, GROUPS), percentile, max_group_rows=limit, bins=8)
+@pytest.mark.parametrize("bins", [200, 8, 2])
+def test_exact_boundaries(spark, percentile, bins):
+    table = cluster_boundaries(scored(spark, GROUPS), percentile, bins=bins)
     found = {r.prediction: r.boundary for r in table.collect()}
     assert found.keys() == GROUPS.keys()
     for p, values in GROUPS.items():
@@ -168,3 +169,61 @@ def test_approx_boundaries(spark):
 def test_percentile_limits(spark, percentile):
     with pytest.raises(ValueError):
         cluster_boundaries(scored(spark, {0: [1.0]}), percentile)
+
+
+def test_null_distances_do_not_count(spark):
+    table = spark.createDataFrame([(0, 1.0), (0, None), (0, 3.0), (1, None)],
+                                  "prediction int, distance double")
+    for method in ("exact", "approx"):
+        assert {r.prediction for r in cluster_boundaries(table, 50, method).collect()} == {0}
+    assert cluster_boundaries(table, 50).first().boundary == 2.0
+    assert cluster_boundaries(table.limit(0), 50).collect() == []
+
+
+def test_too_many_clusters(spark, monkeypatch):
+    monkeypatch.setattr("flowlens.operators.boundaries.MAX_CLUSTERS", 3)
+    with pytest.raises(ValueError, match="clusters"):
+        cluster_boundaries(scored(spark, {i: [1.0] for i in range(5)}), 50)
+
+
+def test_nan_has_no_cluster(spark):
+    row = assign(vectors(spark, [[math.nan, 0]]), [[0.0, 0.0]]).first()
+    assert (row.prediction, row.distance) == (None, None)
+
+
+def facts_of(spark, points, centers, model, cost):
+    from pyspark.ml.functions import array_to_vector
+    table = assign(vectors(spark, points), centers).withColumn(
+        "vector", array_to_vector("normalizedFeatures"))
+    scored_rows = model.setFeaturesCol("vector").setPredictionCol("other").transform(table)
+    return fit_facts(scored_rows, len(centers), cost).first()
+
+
+def test_a_wrong_centre_is_seen(spark):
+    points = [[x + i / 10, y] for x in (-6, 6) for y in (-2, 2) for i in (-1, 0, 1)]
+    fit = fit_clusters(vectors(spark, points), 4)
+    good = facts_of(spark, points, fit.centers, fit.model, fit.cost)
+    assert good.all_nearest and good.cost_below_total and good.cost_at_most_training
+    assert (good.k, good.n_rows) == (4, 12)
+    wrong = [[c[0] * 20, c[1]] if i == 0 else c for i, c in enumerate(fit.centers)]
+    bad = facts_of(spark, points, wrong, fit.model, fit.cost)
+    assert not bad.all_nearest and not bad.cost_at_most_training
+    far = facts_of(spark, points, [[90.0, 90.0]] * 4, fit.model, fit.cost)
+    assert not far.cost_below_total
+
+
+def test_a_wrong_boundary_is_seen(spark):
+    table = scored(spark, GROUPS)
+    found = cluster_boundaries(table, 92)
+    flagged = table.join(found, "prediction")
+    row = rank_facts(flagged, 92).first()
+    assert (row.k, row.n_rows, row.ranks_hold) == (5, sum(map(len, GROUPS.values())), True)
+    assert not rank_facts(flagged.withColumn("boundary", F.col("boundary") * 1.05), 92).first().ranks_hold
+    assert not rank_facts(flagged, 80).first().ranks_hold
+
+
+def test_elbow_facts(spark):
+    table = vectors(spark, [[0, 0], [0, 4], [3, 0]])
+    points = spark.createDataFrame([(2, 5.0), (3, 17.0)], "k int, cost double")
+    assert [r.below_one for r in elbow_facts(points, table, "normalizedFeatures")
+            .orderBy("k").collect()] == [True, False]

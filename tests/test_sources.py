@@ -1,8 +1,10 @@
 import pytest
 
 from flowlens.schemas import FEATURES, LABELS, RAW_SCHEMA
-from flowlens.sources.lines import kafka_options, keep_netflow, netflow_events, parse_events
-from flowlens.sources.tables import read_features, read_labelled_csv
+from flowlens.sources.lines import (
+    kafka_options, keep_netflow, netflow_events, parse_events, rejected_lines,
+)
+from flowlens.sources.tables import read_features, read_labelled_csv, rejected_labelled_rows
 from flowlens.sinks.tables import append_features
 from flowlens.operators.connections import connection_features
 from flowlens.catalog.flows import flows
@@ -36,8 +38,20 @@ def test_strict_checks_the_field(spark):
 def test_parse_absent_fields_and_broken_lines(spark):
     rows = parse_events(lines(spark, '{"src_ip":"a","src_port":5}', '{"src_ip":')).collect()
     assert list(rows[0].asDict()) == RAW_SCHEMA.names
-    assert (rows[0].src_ip, rows[0].src_port, rows[0].end_time) == ("a", 5, None)
-    assert rows[1].src_ip is None
+    assert [(r.src_ip, r.src_port, r.end_time) for r in rows] == [("a", 5, None)]
+
+
+def test_numbers_of_any_form(spark):
+    forms = {"80": 80, '"80"': 80, "80.0": 80, '" 80 "': 80, "8e1": 80, "-3": -3, "null": None,
+             "9223372036854775807": 2 ** 63 - 1}
+    texts = [f'{{"sensor_type":"netflow","src_port":{f}}}' for f in forms]
+    assert [r.src_port for r in netflow_events(lines(spark, *texts)).collect()] == list(forms.values())
+    bad = ['"x"', "80.5", '""', "true", "99999999999999999999", "[1]"]
+    texts = [f'{{"sensor_type":"netflow","src_port":{f}}}' for f in bad]
+    assert netflow_events(lines(spark, *texts)).count() == 0
+    found = rejected_lines(lines(spark, *texts, '{"sensor_type":"netflow"', "other")).collect()
+    assert [r.reason for r in found] == ["src_port"] * len(bad) + ["line"]
+    assert [r.value for r in found][:-1] == texts
 
 
 def test_day_range_prunes_folders(spark, sf_dir, tmp_path):
@@ -64,3 +78,19 @@ def test_labelled_csv(spark, tmp_path):
     assert [r.src_ip for r in rows] == ["a", "src_ip"]
     assert (rows[0].dst_ip, rows[0].n_events) == ("b", 5.0)
     assert [rows[1][c] for c in LABELS] == ["false", None, None]
+
+
+@pytest.mark.parametrize("change", [
+    lambda r: r.replace(",7,", ",oops,"), lambda r: r.replace(",7,", ",NaN,"),
+    lambda r: ",".join(r.split(",")[:3]), lambda r: r + ",more", lambda r: r.replace(",7,", ",,")])
+def test_bad_labelled_rows(spark, tmp_path, change):
+    header = ",".join(["src_ip", "dst_ip", "tsegm_initTime", "week_day", "day", *FEATURES, *LABELS])
+    good = f"a,b,10:00:00,Mon,2024-01-01,7,{','.join(['1'] * 19)},true,volume,n_events"
+    file = tmp_path / "labelled.csv"
+    file.write_text("\n".join([header, good, change(good)]) + "\n")
+    with pytest.raises(Exception, match="unusable row"):
+        read_labelled_csv(spark, str(file)).collect()
+    assert [r.n_events for r in read_labelled_csv(spark, str(file), "drop").collect()] == [7.0]
+    assert rejected_labelled_rows(spark, str(file)).first()["row"].startswith("a,b,")
+    with pytest.raises(ValueError):
+        read_labelled_csv(spark, str(file), "ignore")

@@ -1,15 +1,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.catalog.flows import flow_lines, flows
+from flowlens.catalog.flows import CUTS, flow_lines, flows, line_parts
+from flowlens.catalog.queries import stream_features_windowed, stream_score_windowed
 from flowlens.operators.connections import connection_features
 from flowlens.operators.detector import Detector
 from flowlens.schemas import FEATURES, KEYS, RAW_SCHEMA
 from flowlens.sources.lines import file_lines, netflow_events
 from flowlens.sources.tables import read_anomalies, read_features
-from flowlens.streaming.capture import capture_features
+from flowlens.streaming.capture import capture_features, capture_rejected
 from flowlens.streaming.scoring import score_stream
-from flowlens.streaming.windowed import capture_windows
+from flowlens.streaming.batches import settings
+from flowlens.streaming.windowed import capture_windows, open_windows, untimed
 from test_detector import PLAIN
 
 LINE = ('{{"sensor_type":"netflow","src_ip":"{src}","dst_ip":"d","end_time":"{time}",'
@@ -40,12 +42,18 @@ def run(start):
     return query
 
 
-def test_stream_equals_batch(spark, sf_dir, tmp_path):
+def test_each_batch_is_an_interval(spark, sf_dir, tmp_path):
+    """Four files, one per micro-batch: each equals the batch operator on that file."""
     source, table, checkpoint = paths(tmp_path, "lines", "table", "checkpoint")
-    flow_lines(spark, sf_dir).repartition(4).write.text(source)
-    run(lambda: capture_features(file_lines(spark, source, stream=True), table, checkpoint,
-                                 available_now=True))
-    assert rows(read_features(spark, table)) == rows(connection_features(flows(spark, sf_dir)))
+    for part in line_parts(flow_lines(spark, sf_dir), CUTS):
+        part.coalesce(1).write.mode("append").text(source)
+    labels = iter("abcd")
+    run(lambda: capture_features(file_lines(spark, source, True, max_files_per_trigger=1), table,
+                                 checkpoint, lambda: next(labels), available_now=True))
+    parts = line_parts(flow_lines(spark, sf_dir), CUTS)
+    expected = [row for label, part in zip("abcd", parts)
+                for row in connection_features(netflow_events(part), segment=label).collect()]
+    assert rows(read_features(spark, table)) == sorted(map(tuple, expected), key=repr)
 
 
 def test_restart_reads_only_new_files(spark, tmp_path):
@@ -54,7 +62,7 @@ def test_restart_reads_only_new_files(spark, tmp_path):
 
     def start():
         return capture_features(file_lines(spark, str(source), stream=True), table, checkpoint,
-                                available_now=True)
+                                lambda: "10:00:00", available_now=True)
 
     put(source, "1.txt", line(), line(port=2))
     run(start)
@@ -71,7 +79,7 @@ def test_new_checkpoint_never_replaces_old_rows(spark, tmp_path):
     put(source, "1.txt", line())
     for checkpoint in paths(tmp_path, "c1", "c2"):
         run(lambda: capture_features(file_lines(spark, str(source), stream=True), table,
-                                     checkpoint, available_now=True))
+                                     checkpoint, lambda: "10:00:00", available_now=True))
     assert read_features(spark, table).count() == 2
 
 
@@ -81,7 +89,7 @@ def test_batch_without_flows_is_skipped(spark, tmp_path):
     put(source, "1.txt", '{"sensor_type":"syslog"}')
     run(lambda: capture_features(
         file_lines(spark, str(source), stream=True), *paths(tmp_path, "table", "checkpoint"),
-        segment=lambda: calls.append(1) or "10:00:00", available_now=True))
+        lambda: calls.append(1) or "10:00:00", available_now=True))
     assert calls == [] and not (tmp_path / "table").exists()
 
 
@@ -102,7 +110,8 @@ def test_score_stream_and_model_refresh(spark, tmp_path):
 
     def start():
         return score_stream(file_lines(spark, str(source), stream=True), model, table,
-                            checkpoint, send=send, refresh_each_batch=True, available_now=True)
+                            checkpoint, lambda: "10:00:00", send=send,
+                            refresh_each_batch=True, available_now=True)
 
     def send(batch):
         with open(sent, "a") as out:
@@ -123,7 +132,7 @@ def test_score_stream_and_model_refresh(spark, tmp_path):
 def test_refresh_needs_a_path(spark, tmp_path):
     with pytest.raises(ValueError):
         score_stream(spark.readStream.text(str(tmp_path)), Detector(PLAIN, [[0.0] * 20], {}),
-                     "t", "c", refresh_each_batch=True)
+                     "t", "c", lambda: "10:00:00", refresh_each_batch=True)
 
 
 def windowed(spark, source, table, checkpoint, **options):
@@ -162,3 +171,65 @@ def test_windowed_counts_equal_batch_for_busy_pair(spark, tmp_path):
 
 def test_raw_schema_names_are_lower_case():
     assert RAW_SCHEMA.names == [n.lower() for n in RAW_SCHEMA.names]
+
+
+@pytest.mark.parametrize("query", [stream_features_windowed, stream_score_windowed])
+def test_windows_do_not_depend_on_the_files(spark, sf_dir, query):
+    other = ["2024-01-03 01:02:03", "2024-01-08 23:00:00", "2024-01-09 00:30:00",
+             "2024-01-17 05:05:05", "2024-01-28 20:00:00"]
+    first = rows(query(spark, sf_dir))
+    assert first and first == rows(query(spark, sf_dir, other)) == rows(query(spark, sf_dir, []))
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kathmandu"])
+@pytest.mark.parametrize("bucket", [300, 3600, 86400])
+def test_windows_equal_batch_in_any_zone(spark, tmp_path, zone, bucket):
+    source, table, checkpoint = paths(tmp_path, "lines", "table", "checkpoint")
+    times = ["2024-03-09 23:59:59", "2024-03-10 00:00:00", "2024-03-10 02:30:00",
+             "2024-03-10 07:02:03", "2024-03-31 01:30:00", "2024-11-03 01:30:00"]
+    put(tmp_path / "lines", "1.txt", *[line(f"s{i}", t) for i, t in enumerate(times)])
+    put(tmp_path / "lines", "2.txt", line("end", "2024-12-31 00:00:00"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        events = netflow_events(file_lines(spark, source, stream=True))
+        run(lambda: capture_windows(events, table, checkpoint, bucket, available_now=True))
+        batch = connection_features(netflow_events(spark.read.text(source)), bucket)
+        found = rows(read_features(spark, table))
+        assert found == rows(batch.where("src_ip != 'end'")) and len(found) == len(times)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_open_windows(spark, tmp_path):
+    source = tmp_path / "lines"
+    table, checkpoint = paths(tmp_path, "table", "checkpoint")
+    put(source, "1.txt", *[line(port=i % 3) for i in range(7)],
+        line("b", "2024-03-04 10:06:00"), line("old", "2024-03-04 08:00:00"))
+    windowed(spark, source, table, checkpoint)
+    whole = rows(connection_features(netflow_events(spark.read.text(str(source)))))
+    held = rows(open_windows(spark, checkpoint))
+    assert len(held) == 2 and sorted(held + rows(read_features(spark, table)), key=repr) == whole
+
+
+def test_rejected_lines_are_stored_once(spark, tmp_path):
+    source = tmp_path / "lines"
+    table, checkpoint = paths(tmp_path, "rejected", "checkpoint")
+    put(source, "1.txt", line(), line()[:-1], line(port='"x"'))
+    for _ in range(2):
+        run(lambda: capture_rejected(file_lines(spark, str(source), stream=True), table,
+                                     checkpoint, available_now=True))
+    assert rows(spark.read.parquet(table).select("reason")) == [("line",), ("src_port",)]
+
+
+def test_untimed(spark, tmp_path):
+    table = spark.createDataFrame([(line(time="soon"),), (line(),)], "value string")
+    assert untimed(netflow_events(table)).count() == 1
+
+
+def test_settings_come_back(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with settings(spark, {name: "3", "flowlens.test": "x"}):
+        assert spark.conf.get(name) == "3"
+    assert spark.conf.get(name) == before and spark.conf.get("flowlens.test", None) is None
