@@ -9,11 +9,14 @@ ROUNDS = 10
 
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 MONTH, DAY = "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])"
+#: Labels of a mail domain. All labels with a dot are taken first; if no last label follows,
+#: as at the end of a sentence, some are given back. A domain has at most 127.
+LABEL, LAST = r"(?:[A-Za-z0-9-]{1,63}+\.)", "[A-Za-z]{2,24}+(?![A-Za-z0-9-])"
 #: What is searched, in order of precedence. Every pattern starts and ends at a boundary
 #: and never backs up over a long run, so a search is linear in the text. All but the
 #: first start with a digit, a bracket or a plus sign.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.)++[A-Za-z]{2,24}+(?![A-Za-z0-9-])",
+    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+@(?:{LABEL}++{LAST}|{LABEL}{{1,127}}{LAST})",
     "iso_date": rf"(?<![0-9A-Za-z-])(?:19|20)[0-9]{{2}}-{MONTH}-{DAY}(?![0-9A-Za-z-])",
     "dot_date": rf"(?<![0-9A-Za-z.]){DAY}\.{MONTH}\.(?:19|20)[0-9]{{2}}(?![0-9A-Za-z])",
     "slash_date": rf"(?<![0-9A-Za-z/]){MONTH}/{DAY}/(?:19|20)[0-9]{{2}}(?![0-9A-Za-z/])",

@@ -147,6 +147,18 @@ def test_equals_brute_force(spark):
     assert len(changed) == 8
 
 
+def test_addresses_before_dots(spark):
+    """Addresses are found by hand here: what may follow one, and long domains."""
+    names = ["bob@example.com", "x.Y+7@mail.example.co", "n@" + "a." * 60 + "org"]
+    ends = ["", ".", "...", ". Next", ".\n", "\n", ".\t", ".)", ".1", ".x", ". x@", "?", ".-", ".."]
+    rows = [(f"to {n}{e}", f"to {brute_email(n)}{e}") for n in names for e in ends]
+    rows += [(t, t) for t in ("a@" + "1." * 3000, "a@b.", "a@b.c.", "a@.com.", "@b.com.")]
+    rows += [(f"a1@{'1.' * 3000}com", f"{brute_email('a1@x')[:2]}@{'1.' * 3000}com")]
+    table = spark.createDataFrame(rows, "text string, wanted string")
+    found = table.select("text", "wanted", pseudonymize(F.col("text"), KEY).alias("new")).collect()
+    assert [r.text for r in found if r.new != r.wanted] == []
+
+
 def test_query_equals_brute_force(spark, sf_dir, documents):
     texts = {r.doc_id: r.text for r in documents.collect()}
     found = entry.queries()["op3_pseudonyms"](spark, sf_dir).collect()
