@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from flowlens.llm.texts import stored, unused, utf8
 
 #: Bytes of a chunk: least, mean gap between places where one may end, most.
-LEAST, GAP, MOST = 20, 28, 256
+LEAST, GAP, MOST = 12, 16, 256
 #: Characters that neighbouring repeated chunks must cover together.
 MIN_RUN = 100
 DIGEST_BYTES = 16
@@ -21,7 +21,7 @@ DIGEST_BYTES = 16
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([i]), 1) for i in range(256)], np.uint32)
 
 
-def cut_points(data: bytes, least: int = LEAST, gap: int = GAP, most: int = MOST) -> list[int]:
+def cut_points(data: bytes, least: int = 20, gap: int = 28, most: int = MOST) -> list[int]:
     """Ends of the chunks of a text, in bytes; the last is its length.
 
     A gear hash moves over the bytes, h = 2 h + G[byte], of which the low 16 bits see the
@@ -50,10 +50,11 @@ def cut_points(data: bytes, least: int = LEAST, gap: int = GAP, most: int = MOST
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """(doc_id, ends, digests, again) per row: chunk ends in characters, the digests one
-    after the other, and which chunks repeat an earlier one of the same text."""
+    """(doc_id, ends, high, low, again) per row: chunk ends in characters, the halves of the
+    digests, and which chunks repeat an earlier one of the same text."""
     schema = pa.schema([("doc_id", pa.int64()), ("ends", pa.list_(pa.int32())),
-                        ("digests", pa.binary()), ("again", pa.list_(pa.bool_()))])
+                        ("high", pa.list_(pa.int64())), ("low", pa.list_(pa.int64())),
+                        ("again", pa.list_(pa.bool_()))])
 
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,11 +63,11 @@ def chunked(docs: DataFrame) -> DataFrame:
                     [pa.array(c, f.type) for c, f in zip(columns(batch.slice(at, 500)), schema)],
                     schema=schema)
 
-    def columns(batch: pa.RecordBatch) -> tuple[list, list, list, list]:
-        ids, ends, digests, again = batch["doc_id"].to_pylist(), [], [], []
+    def columns(batch: pa.RecordBatch) -> tuple[list, ...]:
+        ids, ends, high, low, again = batch["doc_id"].to_pylist(), [], [], [], []
         for text in utf8(batch["text"]):
             text = text or b""
-            cuts = cut_points(text) if text else []
+            cuts = cut_points(text, LEAST, GAP) if text else []
             own, seen, start = [], set(), 0
             repeated = []
             for end in cuts:
@@ -79,12 +80,15 @@ def chunked(docs: DataFrame) -> DataFrame:
                 lead = (np.frombuffer(text, np.uint8) & 0xC0) != 0x80
                 cuts = np.cumsum(lead)[np.array(cuts) - 1].tolist()
             ends.append(cuts)
-            digests.append(b"".join(own))
+            halves = np.frombuffer(b"".join(own), "<i8").reshape(-1, 2)
+            high.append(halves[:, 0])
+            low.append(halves[:, 1])
             again.append(repeated)
-        return ids, ends, digests, again
+        return ids, ends, high, low, again
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        chunk, "doc_id bigint, ends array<int>, digests binary, again array<boolean>")
+        chunk, "doc_id bigint, ends array<int>, high array<bigint>, low array<bigint>, "
+               "again array<boolean>")
 
 
 def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
@@ -95,26 +99,41 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     ``extra``, false where the passage stands in its first document for the first time.
     Removing the extra spans leaves each passage once.
 
-    A span is a run of neighbouring chunks that all occur elsewhere, of ``min_run``
-    characters or more; a few words that happen to recur are shorter. Ends of a passage
-    lie up to one chunk inside it.
+    A run of neighbouring chunks that all occur elsewhere, of ``min_run`` characters or
+    more, is a span; a few words that happen to recur are shorter. The whole run is
+    measured. It is then cut where ``extra`` changes; an extra part below ``min_run`` beside
+    chunks that stand there first is not extra, so no passage loses its middle. A part that
+    is still shorter, beside a longer extra one, stays in its text and is no span.
+    Ends of a passage lie up to one chunk inside it, so a few short passages are missed: of
+    6,000 random ones of 311 characters 1, of 290 characters 4, of 250 characters 20.
 
     Rows with the same doc_id are one document. A null doc_id comes after all others.
     Null and empty texts have no chunks. No rows: no rows.
 
-    Chunks are stored once. Digests are counted with partial counts per task; a chunk in
-    very many documents is a skewed join key that adaptive execution splits. Only
-    repeated chunks go on, and runs are found document by document.
+    Chunks are stored once. Half digests are counted first, with partial counts per task,
+    so that only chunks whose half digest repeats go on to whole digests. A chunk in very
+    many documents is a skewed join key that adaptive execution splits. Only repeated
+    chunks go on, and runs are found document by document.
     """
     rows = stored(chunked(docs).withColumn("row", F.monotonically_increasing_id()), "chunks")
     at = F.col("at")
-    chunks = rows.where(F.size("ends") > 0).select(
-        "doc_id", "row", "ends", "digests", "again", F.posexplode("ends").alias("at", "end")).select(
-        "doc_id", "row", "at", "end",
-        F.when(at > 0, F.element_at("ends", F.greatest(at, F.lit(1)))).otherwise(0).alias("start"),
-        F.element_at("again", at + 1).alias("again"),
-        F.substring("digests", at * DIGEST_BYTES + 1, F.lit(DIGEST_BYTES)).alias("digest"))
-    shared = (chunks.groupBy("digest")
+    high = rows.select(F.explode("high").alias("high"))
+    likely = high.groupBy("high").count().where("count > 1").select("high")
+    start = F.when(at > 0, F.element_at("ends", F.greatest(at, F.lit(1)))).otherwise(0)
+    # Start, length (at most MOST) and ``again`` in one number, as all chunks are shuffled.
+    place = (start.cast("bigint") * 1024 + (F.col("end") - start) * 2
+             + F.element_at("again", at + 1).cast("int"))
+    marks = rows.where(F.size("ends") > 0).select(
+        "doc_id", "row", "ends", "high", "low", "again",
+        F.posexplode("ends").alias("at", "end")).select(
+        "doc_id", "row", F.element_at("high", at + 1).alias("high"),
+        F.element_at("low", at + 1).alias("low"), place.alias("place"))
+    begin = F.shiftright("place", 10)
+    chunks = stored(marks.join(likely, "high", "left_semi"), "likely").select(
+        "doc_id", "row", "high", "low", begin.alias("start"),
+        (begin + F.shiftright("place", 1).bitwiseAND(F.lit(511))).alias("end"),
+        (F.col("place") % 2 == 1).alias("again"))
+    shared = (chunks.groupBy("high", "low")
               .agg(F.min("doc_id").alias("first_doc_id"),
                    F.max("doc_id").alias("last_doc_id"),
                    F.count(F.when(~F.col("again"), 1)).alias("n_docs"),
@@ -122,17 +141,37 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
                    F.max("again").alias("within"))
               .where((F.col("first_doc_id") < F.col("last_doc_id")) | F.col("within")
                      | ((F.col("n_null") > 0) & (F.col("n_docs") > 1)))
-              .select("digest", "first_doc_id", "n_docs"))
+              .select("high", "low", "first_doc_id", "n_docs"))
     extra = F.col("again") | ~F.col("doc_id").eqNullSafe(F.col("first_doc_id"))
-    hits = chunks.join(shared, "digest").withColumn("extra", extra)
-    place = Window.partitionBy("row", "extra").orderBy("at")
-    runs = hits.withColumn("run", F.col("at") - F.row_number().over(place))
-    return (runs.groupBy("row", "extra", "run")
-            .agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
-                 F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id"),
-                 F.max("n_docs").alias("n_docs"))
+    hits = chunks.join(shared, ["high", "low"]).withColumn("extra", extra)
+
+    order = Window.partitionBy("row").orderBy("start")
+
+    def parts(table: DataFrame) -> DataFrame:
+        """Number the runs of a row, and the parts of equal ``extra`` in them."""
+        apart = F.coalesce(F.lag("end").over(order) != F.col("start"), F.lit(True))
+        change = apart | (F.lag("extra").over(order) != F.col("extra"))
+        return (table.withColumns({"apart": apart.cast("int"), "change": change.cast("int")})
+                .withColumns({"run": F.sum("apart").over(order), "part": F.sum("change").over(order)})
+                .drop("apart", "change"))
+
+    def joined(table: DataFrame, *keys: str) -> DataFrame:
+        return table.groupBy(*keys).agg(
+            F.first("doc_id").alias("doc_id"), F.min("start").alias("start"),
+            F.max("end").alias("end"), F.min("first_doc_id").alias("first_doc_id"),
+            F.max("n_docs").alias("n_docs"))
+
+    first = joined(parts(hits), "row", "run", "part", "extra")
+    run = Window.partitionBy("row", "run")
+    length = F.max("end").over(run) - F.min("start").over(run)
+    whole = (first.withColumns({"length": length, "mixed": ~F.min("extra").over(run)})
+             .where(F.col("length") >= min_run)
+             .withColumn("extra", F.col("extra") & ~(
+                 F.col("mixed") & (F.col("end") - F.col("start") < min_run))))
+    return (joined(parts(whole.drop("run", "part")), "row", "part", "extra")
             .where(F.col("end") - F.col("start") >= min_run)
-            .select("doc_id", "start", "end", "first_doc_id", "n_docs", "extra"))
+            .select("doc_id", F.col("start").cast("int").alias("start"),
+                    F.col("end").cast("int").alias("end"), "first_doc_id", "n_docs", "extra"))
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -78,6 +78,35 @@ def test_passages_are_found(make_docs):
     assert sum(len(left[d]) < len(texts[d]) for d in planted) >= 0.95 * 80
 
 
+def test_short_passages_are_found(make_docs):
+    """Passages of 290 characters: with larger chunks about one in fifty was missed."""
+    docs = []
+    for i in range(400):
+        passage = words(20_000 + i, 80)[:290]
+        docs += [(2 * i + c, f"{words(30_000 + 2 * i + c, 12)} {passage} {words(40_000 + 2 * i + c, 12)}")
+                 for c in (0, 1)]
+    found = {r.doc_id for r in repeated_spans(make_docs(*docs)).collect()}
+    assert len(found) >= 798
+
+
+def test_runs_are_measured_whole(make_docs):
+    """A passage whose middle also stands in an earlier document is found at its first place."""
+    missed = 0
+    for seed in range(6):
+        passage = words(50_000 + seed, 33)
+        middle = passage[len(passage) // 2 - 40:len(passage) // 2 + 40]
+        docs = [(1, f"{words(60_000 + seed, 40)} {middle} {words(61_000 + seed, 40)}"),
+                (2, f"{words(62_000 + seed, 40)} {passage} {words(63_000 + seed, 40)}"),
+                (3, f"{words(64_000 + seed, 40)} {passage} {words(65_000 + seed, 40)}")]
+        rows = repeated_spans(make_docs(*docs)).collect()
+        whole = [r for r in rows if r.doc_id == 3]
+        firsts = [r for r in rows if r.doc_id == 2]
+        assert not any(r.extra for r in firsts)
+        missed += bool(whole) and sum(r.end - r.start for r in firsts) < sum(
+            r.end - r.start for r in whole)
+    assert missed == 0
+
+
 def test_query(spark, sf_dir, documents):
     rows = entry.queries()["op1_substring_dedup"](spark, sf_dir).collect()
     texts = {r.doc_id: r.text for r in documents.collect()}
