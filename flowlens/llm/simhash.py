@@ -89,6 +89,21 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[linked], nodes[label[linked]]
 
 
+def hot_prefixes(owns: DataFrame, flips: Column, local: list[int], task_variants: int) -> DataFrame:
+    """(dest, shares) of the prefixes that get over ``task_variants`` variants.
+
+    All variants that a prefix receives count, also from prefixes a flip or two away.
+    Fingerprints are counted by prefix first, so at most 2 ** prefix_bits rows, 65,536, are
+    sent over the flips.
+    """
+    made = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in local]), F.col("flip.left") + 1)
+    return (owns.groupBy("own").count().select("own", "count", F.explode(flips).alias("flip"))
+            .groupBy(F.col("own").bitwiseXOR(F.col("flip.mask")).alias("dest"))
+            .agg(F.sum(F.col("count") * made).alias("variants"))
+            .where(F.col("variants") > task_variants)
+            .select("dest", F.ceil(F.col("variants") / task_variants).cast("int").alias("shares")))
+
+
 def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int | None = None,
                task_variants: int = TASK_VARIANTS) -> DataFrame:
     """Links (a, b) that connect all fingerprints within ``max_bits`` of each other.
@@ -101,7 +116,7 @@ def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int | None = N
     and the receiving task makes the variants: 64 bits and r = 4 are 2,081 variants, but
     only 37 to 137 rows. A prefix with many fingerprints is dealt to several tasks; each
     makes the variants of one share of the hash space, so no task holds over about
-    ``task_variants`` variants.
+    ``task_variants`` variants. It does receive all fingerprints that reach its prefix.
 
     Variants that meet are verified by bit count, and a task returns its links as a
     forest: for each fingerprint the smallest one it is connected with there. So a group
@@ -114,14 +129,10 @@ def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int | None = N
         prefix_bits = min(16, max(4, (groups - 1).bit_length()))
     rest = BITS - prefix_bits
     local = [len(masks(rest, left)) for left in range(half + 1)]
-    limit = max(1, task_variants // local[half])
-
     prefix = F.shiftrightunsigned("fp", rest).cast("int")
-    # At most 2 ** prefix_bits rows, 65,536.
-    hot = (prints.groupBy(prefix.alias("dest")).count().where(F.col("count") > limit)
-           .select("dest", F.ceil(F.col("count") / limit).cast("int").alias("shares")))
     flips = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(half - m.bit_count()).alias("left"))
                       for m in masks(prefix_bits, half)])
+    hot = hot_prefixes(prints.select(prefix.alias("own")), flips, local, task_variants)
     routed = (prints.select("fp", prefix.alias("own"), F.explode(flips).alias("flip"))
               .select("fp", F.col("own").bitwiseXOR(F.col("flip.mask")).alias("dest"),
                       F.col("flip.left").alias("left"))

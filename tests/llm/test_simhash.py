@@ -86,6 +86,18 @@ def test_links_connect_all_near_prints(spark, options):
         assert reach(p, neighbours.__getitem__) == expected
 
 
+def test_neighbours_of_a_hot_prefix_are_dealt(spark):
+    """1,000 fingerprints of prefix 5 make 61 variants each in a prefix one flip away."""
+    from flowlens.llm.simhash import hot_prefixes, masks
+    local = [len(masks(60, n)) for n in range(3)]
+    flips = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(2 - m.bit_count()).alias("left"))
+                      for m in masks(4, 2)])
+    owns = spark.range(1000).select(F.lit(5).alias("own"))
+    found = {r.dest: r.shares for r in hot_prefixes(owns, flips, local, 10_000).collect()}
+    wanted = {5 ^ m: -(-1000 * local[2 - m.bit_count()] // 10_000) for m in masks(4, 1)}
+    assert found == wanted and min(found.values()) > 1
+
+
 def test_odd_radius_is_verified(spark):
     """Variants within two bits meet at distance four, which a limit of three excludes."""
     table = spark.createDataFrame([(0,), (0b1111,), (0b111,)], "fp bigint")
