@@ -44,4 +44,30 @@ select c.page_id, c.url, c.fetched_at, coalesce(v.lists, '') as lists,
 from captures c left join verdicts v on c.url = v.url and c.fetched_at = v.fetched_at
 """
 
-ORACLES: dict[str, str] = {"op2_url_filters": URL_FILTERS}
+FILL_MIDDLE = r"""
+with docs as (
+  select doc_id, coalesce(text, '') as text,
+    sha256('42:' || coalesce(cast(doc_id as varchar), '')) as digest from documents),
+tokens as (
+  select *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as t,
+    list_transform([1, 9, 17, 25], lambda i: cast('0x' || substr(digest, i, 8) as bigint)) as h
+  from docs),
+cuts as (
+  select *, len(t) as n, least(h[1] % (len(t) + 1), h[2] % (len(t) + 1)) as a,
+    greatest(h[1] % (len(t) + 1), h[2] % (len(t) + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+      or h[3] % 100 >= 50 then 'plain' when h[4] % 100 < 80 then 'spm' else 'psm' end as form
+  from tokens),
+pieces as (
+  select doc_id, text, n, form, array_to_string(t[1:a], '') as pre,
+    array_to_string(t[a + 1:b], '') as mid, array_to_string(t[b + 1:], '') as suf from cuts)
+select doc_id, cast(n as bigint) as n, form,
+  case when form <> 'plain' then length(pre) end as prefix_chars,
+  case when form <> 'plain' then length(mid) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+    else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256,
+  sha256(text) as restored_sha256
+from pieces
+"""
+
+ORACLES: dict[str, str] = {"op2_url_filters": URL_FILTERS, "op11_fill_middle": FILL_MIDDLE}

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.llm.decontamination import contamination
+from flowlens.llm.factorization import classify, fit as fit_machine
+from flowlens.llm.fill_middle import fill_in_middle, restored
 from flowlens.llm.html_text import main_texts
 from flowlens.llm.language import fit, identify_rows
 from flowlens.llm.packing import pack
+from flowlens.llm.periodic import periodic_runs
 from flowlens.llm.pii import TEST_KEY, pseudonymize_rows
 from flowlens.llm.quality import quality_rows
 from flowlens.llm.simhash import near_duplicates
@@ -95,6 +98,62 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_chars", F.length("text").cast("bigint"))
 
 
+def utf8_sha256(text):
+    return F.sha2(text.cast("binary"), 256)
+
+
+def fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged, and rebuilt from what came out."""
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        utf8_sha256(F.col("output")).alias("output_sha256"),
+        utf8_sha256(restored(F.col("output"), F.col("form"))).alias("restored_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one of ten documents a word and all behind it repeat a stretch."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    planted = docs.select("doc_id", "text", h.alias("h"),
+                          F.when(h % 10 == 0, words).alias("words"))
+    planted = planted.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    planted = planted.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    planted = planted.withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    again = F.transform("words", lambda word, i: F.when(
+        i >= F.col("a"), F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+        .otherwise(word))
+    text = F.when(F.col("a").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text"))
+    return planted.select("doc_id", text.alias("text"))
+
+
+def periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    # Runs come by start and period, so the first of the longest is the one asked for.
+    longest = F.filter("runs", lambda r: r.length == F.array_max("runs.length"))
+    best = F.when(F.size(longest) > 0, F.element_at(longest, 1))
+    found = found.withColumn("best", best).withColumn(
+        "lines", F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        utf8_sha256(F.col("lines")).alias("runs_sha256"),
+        utf8_sha256(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labels of four fifths of the documents, applied to all."""
+    docs = table(spark, sf_dir, "documents")
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    machine = fit_machine(docs, table(spark, sf_dir, "labels").where(part != 0),
+                          metadata=("n_chars",))
+    return classify(docs, machine, 0.3).select(
+        "doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substring_dedup,
     "op2_url_filters": url_filters,
@@ -106,4 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontamination,
     "op9_language": language,
     "op10_html_text": html_text,
+    "op11_fill_middle": fill_middle,
+    "op12_periodic_runs": periodic,
+    "op13_quality_classifier": quality_classifier,
 }
