@@ -3,19 +3,21 @@
 import hashlib
 import re
 from bisect import bisect_right
+from dataclasses import dataclass
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.texts import once, utf8
+from flowlens.llm.texts import once, stored, utf8
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-#: Benchmark text, in characters, that one automaton is built from (about 1 GB per worker
+#: Benchmark text, in characters, that one automaton is built from (about 250 MB per worker
 #: at 10 words a window). A larger benchmark is scanned in several passes.
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS = 500_000
 
 
 def windows_of(text: str | None, width: int) -> list[str]:
@@ -34,7 +36,7 @@ class Scanner:
         owners: dict[str, set] = {}
         for item, text in items:
             for window in windows_of(text, width):
-                owners.setdefault(window, set()).add(item)
+                owners.setdefault(window, set()).update(() if item is None else (item,))
         self.machine = ahocorasick.Automaton()
         for window, own in owners.items():
             self.machine.add_word(window, (len(window), tuple(own)))
@@ -78,11 +80,11 @@ class Scanner:
 _scanners: dict[str, Scanner] = {}
 
 
-def scanner_of(key: str, items: list[tuple], width: int) -> Scanner:
+def scanner_of(key: str, items: Broadcast, width: int) -> Scanner:
     """The worker's scanner of a block; a worker keeps one, built on first use."""
     if key not in _scanners:
         _scanners.clear()
-        _scanners[key] = Scanner(items, width)
+        _scanners[key] = Scanner(items.value, width)
     return _scanners[key]
 
 
@@ -95,9 +97,17 @@ FOUND_ARROW = pa.struct([
 ])
 
 
-def found_in(text: Column, items: list[tuple], width: int) -> Column:
+@dataclass(frozen=True)
+class Block:
+    """Some benchmark rows (item, text), as the workers fetch them, and a name for them."""
+
+    key: str
+    items: Broadcast
+
+
+def found_in(text: Column, block: Block, width: int) -> Column:
     """struct<n_words, runs, items> of a text against one block of benchmark items."""
-    key = hashlib.sha256(repr((width, items)).encode()).hexdigest()
+    key, items = f"{block.key}-{width}", block.items
 
     @F.arrow_udf(FOUND)
     def scan(texts: pa.Array) -> pa.Array:
@@ -112,23 +122,25 @@ def found_in(text: Column, items: list[tuple], width: int) -> Column:
     return once(scan, text)
 
 
-def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[DataFrame]:
-    """``benchmark`` in parts of about ``block_chars``, by a hash of the item.
+def benchmark_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[Block]:
+    """``benchmark`` in parts of about ``block_chars``, by a hash of the row.
 
-    The size is measured first. Parts are for the driver to read one after the other.
+    The size is measured first. The driver reads one part at a time and hands it to
+    Spark's broadcast, which keeps it in files; workers fetch a part when they scan with
+    it.
     """
     total = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // block_chars))
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(
-        "item is not null and text is not null").distinct()
+        "text is not null").distinct()
     share = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
-    return [rows.where(share == part) for part in range(parts)]
-
-
-def benchmark_items(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> list[list[tuple]]:
-    """The blocks' rows, read one block at a time."""
-    return [sorted(map(tuple, part.collect()))
-            for part in benchmark_blocks(benchmark, block_chars)]
+    blocks = []
+    for part in range(parts):
+        items = sorted(map(tuple, rows.where(share == part).collect()),
+                       key=lambda row: (row[0] or "", row[1]))
+        key = hashlib.sha256(repr(items).encode()).hexdigest()
+        blocks.append(Block(key, benchmark.sparkSession.sparkContext.broadcast(items)))
+    return blocks
 
 
 def merged(found: Column) -> Column:
@@ -164,23 +176,41 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10,
     A window is ``width`` consecutive words of a benchmark text, a shorter text is one
     window. ``n_hit`` counts the document's words inside any occurrence of a window,
     ``spans`` are the merged hits as code point offsets into the original text, ``items``
-    the sorted ids (as text) of items with an occurring window. Benchmark rows without id
-    or text are left out; repeated rows count once. A null text has no words. An empty
-    benchmark hits nothing.
-
-    Only the benchmark goes to the workers, in blocks of measured size; each block is one
-    automaton and one pass over the texts inside the same narrow step.
+    the sorted ids (as text) of items with an occurring window. Benchmark rows without an
+    id hit as others do and add no id; rows without text are left out; repeated rows count
+    once. A null text has no words. An empty benchmark hits nothing.
+
+    Only the benchmark goes to the workers, in blocks of measured size, each one automaton.
+    One block is one narrow step. For several, texts are stored once with a row number and
+    each block is a pass of its own over them, so no worker holds two automata; what the
+    later passes found, rows with a hit, is brought together by row number.
     """
-    blocks = benchmark_items(benchmark, block_chars)
-    found = docs.select("doc_id", *[found_in(F.col("text"), items, width).alias(f"found{i}")
-                                    for i, items in enumerate(blocks)])
-    union = merged(F.array(*[f"found{i}" for i in range(len(blocks))]))
-    return found.select("doc_id", union.alias("c")).select("doc_id", "c.*")
+    blocks = benchmark_blocks(benchmark, block_chars)
+    if len(blocks) == 1:
+        found = docs.select("doc_id", F.array(
+            found_in(F.col("text"), blocks[0], width)).alias("found"))
+        return found.select("doc_id", merged(F.col("found")).alias("c")).select("doc_id", "c.*")
+    numbered = stored(docs.select("doc_id", "text").withColumn(
+        "row", F.monotonically_increasing_id()), "numbered")
+    passes = None
+    for block in blocks:
+        found = numbered.select("row", "doc_id", found_in(F.col("text"), block, width).alias("found"))
+        if passes is not None:
+            found = found.where(F.size("found.runs") > 0)
+        found = stored(found, "found")
+        passes = found if passes is None else passes.union(found)
+    together = passes.groupBy("row").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"), F.collect_list("found").alias("found"))
+    return together.select("doc_id", merged(F.col("found")).alias("c")).select("doc_id", "c.*")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10,
                       block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs``, all columns, in which no benchmark window occurs."""
-    for items in benchmark_items(benchmark, block_chars):
-        docs = docs.where(F.size(found_in(F.col("text"), items, width)["runs"]) == 0)
+    """The rows of ``docs``, all columns, in which no benchmark window occurs.
+
+    Several blocks are passes over what the one before kept, stored between.
+    """
+    for i, block in enumerate(benchmark_blocks(benchmark, block_chars)):
+        docs = stored(docs, "clean") if i else docs
+        docs = docs.where(F.size(found_in(F.col("text"), block, width)["runs"]) == 0)
     return docs

@@ -1,36 +1,39 @@
 """Language identification with interpolated Kneser-Ney character models."""
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.llm.texts import once, utf8
+from flowlens.llm.texts import once, stored, utf8
 
 ORDER = 5
-#: Documents per language that are counted, and that thresholds are set on, at most in
+#: Different texts per language that are counted, and that thresholds are set on, at most in
 #: expectation. The driver and the workers hold the n-grams of these only.
 FIT_DOCS, CALIBRATION_DOCS = 1_500, 500
 MAX_LANGUAGES = 500
-#: Words whose scores a worker remembers.
-CACHED_WORDS = 400_000
+#: Numbers (8 bytes) that a worker remembers: one per word and language.
+CACHED_CELLS = 1_600_000
+#: Numbers (4 bytes) that are worked out at once: one per character and language.
+STEP_CELLS = 1_000_000
 #: Share of a language's own documents that its threshold rejects.
 REJECTED = 0.005
 #: Characters that count towards the score; more make no prediction surer.
 SCORE_CHARS = 60
 
-WORD = re.compile(r"[^\W\d_]+")
+#: A letter, and letters and the marks that belong to them.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 UNKNOWN = "und"
 
 
 def words_of(text: bytes | None) -> list[str]:
-    """Runs of letters in lower case."""
+    """Runs of letters, with their combining marks, in lower case."""
     return WORD.findall(text.decode().lower()) if text else []
 
 
@@ -55,43 +58,55 @@ class Rolling:
 
 def hash_all(texts: list[str], length: int) -> np.ndarray:
     """Hashes of texts of one length."""
+    if not length:
+        return np.zeros(len(texts), np.uint64)
     ends = np.arange(1, len(texts) + 1) * length
     return Rolling("".join(texts)).before(ends, length)[length]
 
 
 @dataclass(frozen=True)
-class Level:
-    """One order of all languages: two sorted hash arrays with a row of values each."""
+class Table:
+    """Values of (hash, language) pairs: a sorted hash array, and for each hash its pairs.
+
+    A hash takes 16 bytes and a pair 6, so an n-gram costs what the languages that have
+    it need, however many languages there are.
+    """
 
-    grams: np.ndarray
-    alphas: np.ndarray
-    contexts: np.ndarray
-    gammas: np.ndarray
+    keys: np.ndarray
+    starts: np.ndarray
+    language: np.ndarray
+    value: np.ndarray
 
     @staticmethod
-    def sorted(grams: dict, contexts: dict, length: int, languages: int) -> "Level":
-        def table(values: dict, size: int, default: float) -> tuple[np.ndarray, np.ndarray]:
-            rows = np.full((len(values), languages), default, np.float32)
-            for i, own in enumerate(values.values()):
-                for language, value in own.items():
-                    rows[i, language] = value
-            if size:
-                keys = hash_all(list(values), size)
-            else:
-                keys = np.zeros(len(values), np.uint64)
-            order = np.argsort(keys)
-            return keys[order], rows[order]
-
-        return Level(*table(grams, length, 0.0), *table(contexts, length - 1, 1.0))
-
-
-def found_rows(keys: np.ndarray, rows: np.ndarray, wanted: np.ndarray,
-               default: float) -> np.ndarray:
-    """Rows of the wanted keys; ``default`` where a key is absent."""
-    if not len(keys):
-        return np.full((len(wanted), rows.shape[1]), default, np.float32)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where((keys[at] == wanted)[:, None], rows[at], np.float32(default))
+    def of(keys: np.ndarray, language: np.ndarray, value: np.ndarray) -> "Table":
+        order = np.lexsort((language, keys))
+        unique, starts = np.unique(keys[order], return_index=True)
+        return Table(unique, np.append(starts, len(keys)), language[order].astype(np.uint16),
+                     value[order].astype(np.float32))
+
+    def pairs(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``wanted``, language, value) of all pairs of the wanted hashes."""
+        if not len(self.keys):
+            return (np.empty(0, np.int64), self.language, self.value)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        place = np.flatnonzero(self.keys[at] == wanted)
+        at = at[place]
+        sizes = self.starts[at + 1] - self.starts[at]
+        first = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)
+        chosen = first + np.arange(len(first))
+        return np.repeat(place, sizes), self.language[chosen], self.value[chosen]
+
+    @property
+    def nbytes(self) -> int:
+        return self.keys.nbytes + self.starts.nbytes + self.language.nbytes + self.value.nbytes
+
+
+@dataclass(frozen=True)
+class Level:
+    """One order of all languages: discounted shares of n-grams, and weights of contexts."""
+
+    grams: Table
+    contexts: Table
 
 
 @dataclass(frozen=True)
@@ -101,9 +116,28 @@ class Model:
     levels: list[Level]
     thresholds: list[float] | None = None
 
+    @property
+    def nbytes(self) -> int:
+        return sum(x.grams.nbytes + x.contexts.nbytes for x in self.levels)
+
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """Log probability of each word and its end, in each language."""
-        order = len(self.levels)
+        """Log probability of each word and its end, in each language.
+
+        Work is cut into steps of about ``STEP_CELLS`` characters times languages.
+        """
+        found, step, size = [], [], 0
+        most = max(1, STEP_CELLS // max(1, len(self.languages)))
+        for word in words:
+            if step and size + len(word) + 1 > most:
+                found.append(self._word_scores(step))
+                step, size = [], 0
+            step.append(word)
+            size += len(word) + 1
+        found.append(self._word_scores(step) if step else np.empty((0, len(self.languages))))
+        return np.concatenate(found)
+
+    def _word_scores(self, words: list[str]) -> np.ndarray:
+        order, count = len(self.levels), len(self.languages)
         lengths = np.array([len(w) + 1 for w in words])
         rolling = Rolling("".join(" " * (order - 1) + w + " " for w in words))
         steps = np.ones(lengths.sum(), np.int64)
@@ -112,53 +146,73 @@ class Model:
         ends = np.cumsum(steps)
         grams = rolling.before(ends, order)
         contexts = rolling.before(ends - 1, order - 1)
-        p = np.full((len(ends), len(self.languages)), 1 / self.alphabet, np.float32)
+        p = np.full(len(ends) * count, 1 / self.alphabet, np.float32)
         for k, level in enumerate(self.levels, start=1):
-            p *= found_rows(level.contexts, level.gammas, contexts[k - 1], 1.0)
-            p += found_rows(level.grams, level.alphas, grams[k], 0.0)
-        return np.add.reduceat(np.log(p.astype(np.float64)), starts, axis=0)
+            place, language, value = level.contexts.pairs(contexts[k - 1])
+            p[place * count + language] *= value
+            place, language, value = level.grams.pairs(grams[k])
+            p[place * count + language] += value
+        return np.add.reduceat(np.log(p.astype(np.float64)).reshape(-1, count), starts, axis=0)
 
 
-def kneser_ney(counts: dict[str, dict[str, int]], order: int) -> Model:
-    """A model from counts of n-grams of the full order, by language.
+def smoothed(counts: dict[str, int], order: int) -> Iterator[tuple[int, bool, np.ndarray, np.ndarray]]:
+    """(order, of contexts or not, hashes, values) of one language's counts of full n-grams.
 
     The highest order uses counts, the others the number of different characters seen
     before the n-gram. One discount per order, n1 / (n1 + 2 n2).
     """
+    for k in range(order, 0, -1):
+        ones = sum(v == 1 for v in counts.values())
+        twos = sum(v == 2 for v in counts.values())
+        discount = ones / (ones + 2 * twos) if ones and twos else 0.5
+        totals, kinds = Counter(), Counter()
+        for g, n in counts.items():
+            totals[g[:-1]] += n
+            kinds[g[:-1]] += 1
+        yield k, False, hash_all(list(counts), k), np.array(
+            [(n - discount) / totals[g[:-1]] for g, n in counts.items()], np.float32)
+        yield k, True, hash_all(list(totals), k - 1), np.array(
+            [discount * kinds[h] / n for h, n in totals.items()], np.float32)
+        counts = Counter(g[1:] for g in counts)
+
+
+def model_of(languages: list[str], alphabet: int, order: int, level: np.ndarray,
+             context: np.ndarray, key: np.ndarray, language: np.ndarray,
+             value: np.ndarray) -> Model:
+    """A model from rows (order, of contexts or not, hash, language by number, value)."""
+    def table(k: int, of_contexts: bool) -> Table:
+        own = (level == k) & (context == of_contexts)
+        return Table.of(key[own], language[own], value[own])
+
+    levels = [Level(table(k, False), table(k, True)) for k in range(1, order + 1)]
+    return Model(languages, max(2, alphabet), levels)
+
+
+def kneser_ney(counts: dict[str, dict[str, int]], order: int) -> Model:
+    """A model from counts of n-grams of the full order, by language."""
     languages = sorted(counts)
-    grams = [defaultdict(dict) for _ in range(order + 1)]
-    contexts = [defaultdict(dict) for _ in range(order + 1)]
+    parts = [(k, c, keys, np.full(len(keys), i), values) for i, name in enumerate(languages)
+             for k, c, keys, values in smoothed(counts[name], order)]
+    level = np.concatenate([np.full(len(p[2]), p[0]) for p in parts])
+    context = np.concatenate([np.full(len(p[2]), p[1]) for p in parts])
     alphabet = {g[-1] for own in counts.values() for g in own}
-    for at, language in enumerate(languages):
-        values = counts[language]
-        for k in range(order, 0, -1):
-            ones = sum(v == 1 for v in values.values())
-            twos = sum(v == 2 for v in values.values())
-            discount = ones / (ones + 2 * twos) if ones and twos else 0.5
-            totals, kinds = Counter(), Counter()
-            for g, n in values.items():
-                totals[g[:-1]] += n
-                kinds[g[:-1]] += 1
-            for g, n in values.items():
-                grams[k][g][at] = (n - discount) / totals[g[:-1]]
-            for h, n in totals.items():
-                contexts[k][h][at] = discount * kinds[h] / n
-            values = Counter(g[1:] for g in values)
-    levels = [Level.sorted(grams[k], contexts[k], k, len(languages)) for k in range(1, order + 1)]
-    return Model(languages, max(2, len(alphabet)), levels)
+    return model_of(languages, len(alphabet), order, level, context,
+                    *[np.concatenate([p[i] for p in parts]) for i in (2, 3, 4)])
 
 
 def learning_rows(docs: DataFrame, low: float, high: float, per_language: int,
                   sizes: dict[str, int], seed: int) -> DataFrame:
-    """About ``per_language`` documents of each language, by a hash in [low, high)."""
-    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1_000_000)) / 1_000_000
+    """About ``per_language`` different texts of each language, by the text's hash in [low, high)."""
+    key = F.xxhash64(F.lit(seed), "text")
+    place = F.pmod(key, F.lit(1_000_000)) / 1_000_000
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items()
                            for x in (lang, min(1.0, per_language / n))])[F.col("lang")]
-    return docs.where((place >= low) & (place < low + (high - low) * share)).select("lang", "text")
+    chosen = docs.where((place >= low) & (place < low + (high - low) * share))
+    return chosen.select("lang", "text", key.alias("key")).dropDuplicates(["lang", "key"])
 
 
-def count_grams(rows: DataFrame, order: int) -> dict[str, dict[str, int]]:
-    """Counts of full-order n-grams by language; words are padded with spaces."""
+def count_grams(rows: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, n): n-grams of the full order; words are padded with spaces."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
@@ -175,12 +229,32 @@ def count_grams(rows: DataFrame, order: int) -> dict[str, dict[str, int]]:
                 "n": pa.array(grams.values(), pa.int64())}, schema=pa.schema(
                     [("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())]))
 
-    found = (rows.mapInArrow(count, "lang string, gram string, n bigint")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
-    counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for lang, gram, n in zip(*[found[c].to_pylist() for c in ("lang", "gram", "n")]):
-        counts[lang][gram] = n
-    return counts
+    return (rows.mapInArrow(count, "lang string, gram string, n bigint")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+
+
+def fit_grams(grams: DataFrame, languages: list[str], order: int) -> Model:
+    """A model from a stored table of n-grams; each language is worked out in a task of its own.
+
+    The driver gets hashes and values, 23 bytes for each n-gram or context of a language.
+    """
+    number = {name: i for i, name in enumerate(languages)}
+
+    def smooth(rows: pa.Table) -> pa.Table:
+        own = number[rows["lang"][0].as_py()]
+        counts = dict(zip(rows["gram"].to_pylist(), rows["n"].to_pylist()))
+        parts = [pa.table({
+            "level": np.full(len(keys), k, np.int32), "context": np.full(len(keys), c),
+            "key": keys.view(np.int64), "language": np.full(len(keys), own, np.int16),
+            "value": values}) for k, c, keys, values in smoothed(counts, order)]
+        return pa.concat_tables(parts)
+
+    alphabet = grams.select(F.right("gram", F.lit(1))).distinct().count()
+    rows = grams.groupBy("lang").applyInArrow(
+        smooth, "level int, context boolean, key bigint, language smallint, value float").toArrow()
+    level, context, key, language, value = (
+        rows[c].to_numpy() for c in ("level", "context", "key", "language", "value"))
+    return model_of(languages, alphabet, order, level, context, key.view(np.uint64), language, value)
 
 
 RESULT = ("lang string, score double, cross_entropy double, rejected boolean, words bigint")
@@ -192,38 +266,60 @@ RESULT_ARROW = pa.struct([("lang", pa.string()), ("score", pa.float64()),
 class Scorer:
     """A model with a bounded memory of words."""
 
-    def __init__(self, model: Model, cached: int = CACHED_WORDS):
-        self.model, self.cached = model, cached
+    def __init__(self, model: Model, cells: int = CACHED_CELLS):
+        self.model = model
+        self.most = max(64, cells // max(1, len(model.languages)))
         self.rows: dict[str, int] = {}
-        self.table = np.empty((0, len(model.languages)))
+        self.table = np.empty((self.most, len(model.languages)))
 
     def remember(self, words: set[str]) -> None:
+        """Know at most ``most`` words, these among them; there are no more of them."""
         new = [w for w in words if w not in self.rows]
-        if not new:
-            return
-        if len(self.rows) + len(new) > self.cached:
-            self.rows, self.table, new = {}, self.table[:0], list(words)
-        parts = [self.model.word_scores(new[at:at + 20_000])
-                 for at in range(0, len(new), 20_000)]
-        self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-        self.table = np.concatenate([self.table, *parts])
+        if len(self.rows) + len(new) > self.most:
+            self.rows, new = {}, list(words)
+        if new:
+            at = len(self.rows)
+            self.table[at:at + len(new)] = self.model.word_scores(new)
+            self.rows.update(zip(new, range(at, at + len(new))))
+
+    def sums(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Log probability of each text by language.
+
+        Texts are taken together until their words fill half of the memory; the words of
+        a longer text are taken in parts.
+        """
+        found = [np.zeros(len(self.model.languages)) for _ in texts]
+        step = 1 + 65_536 // max(1, len(self.model.languages))
+        pieces = [(i, words[at:at + self.most // 2]) for i, words in enumerate(texts)
+                  for at in range(0, len(words), self.most // 2)]
+        waiting, known = [], set()
+        for i, words in [*pieces, (None, [])]:
+            own = set(words)
+            if waiting and (i is None or len(known | own) > self.most // 2):
+                self.remember(known)
+                for j, some in waiting:
+                    at = np.fromiter(map(self.rows.__getitem__, some), np.int64, len(some))
+                    for low in range(0, len(at), step):
+                        found[j] += self.table[at[low:low + step]].sum(axis=0)
+                waiting, known = [], set()
+            waiting.append((i, words))
+            known |= own
+        return found
 
     def score_all(self, texts: list[bytes | None]) -> list[dict]:
         results = []
         for at in range(0, len(texts), 256):
             split = [words_of(t) for t in texts[at:at + 256]]
-            self.remember(set().union(*split))
-            results += [self.score(words) for words in split]
+            results += [self.score(*pair) for pair in zip(split, self.sums(split))]
         return results
 
-    def score(self, words: list[str]) -> dict:
+    def score(self, words: list[str], total: np.ndarray) -> dict:
         model = self.model
         if not words or not model.languages:
             return {"lang": UNKNOWN, "score": 0.0, "cross_entropy": None, "rejected": True,
                     "words": 0}
-        index = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
         chars = sum(map(len, words)) + len(words)
-        entropy = -self.table[index].sum(axis=0) / chars
+        entropy = -total / chars
         best = int(entropy.argmin())
         surest = np.exp((entropy[best] - entropy) * min(chars, SCORE_CHARS))
         limit = model.thresholds[best] if model.thresholds else np.inf
@@ -257,25 +353,29 @@ def identify(text: Column, model: Broadcast) -> Column:
 
 def fit(docs: DataFrame, order: int = ORDER, fit_docs: int = FIT_DOCS,
         calibration_docs: int = CALIBRATION_DOCS, seed: int = 11) -> Model:
-    """A model of the languages in ``lang``, from doc_id, text and lang.
-
-    Rows without text or lang are left out. The n-grams of about ``fit_docs`` documents
-    per language are counted on the executors and sent to the driver; about
-    ``calibration_docs`` others, none of them counted, give each language the threshold
-    that all but ``REJECTED`` of its documents stay under. Both samples are taken by a
-    hash of the row. No rows: a model without languages, which answers ``und``.
+    """A model of the languages in ``lang``, from text and lang alone.
+
+    Rows without text or lang are left out; a text that many rows have counts once. The
+    n-grams of about ``fit_docs`` texts per language are counted on the executors, made
+    into a model language by language there, and sent to the driver as hashes and values;
+    about ``calibration_docs`` others, none of them counted, give each language the
+    threshold that all but ``REJECTED`` of its documents stay under. Both samples are taken
+    by a hash of the text. No rows: a model without languages, which answers ``und``.
     """
     spark = docs.sparkSession
-    known = docs.where("text is not null and lang is not null")
-    sizes = {r[0]: r[1] for r in known.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    known = docs.where("text is not null and lang is not null").select("text", "lang")
+    sizes = {r[0]: max(1, r[1]) for r in known.groupBy("lang").agg(
+        F.approx_count_distinct(F.xxhash64("text"))).limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
-        return Model([], 2, [])
     fit_share = fit_docs / (fit_docs + calibration_docs)
-    counts = count_grams(learning_rows(known, 0.0, fit_share, round(fit_docs / fit_share), sizes, seed),
-                         order)
-    model = kneser_ney(counts, order)
+    grams = stored(count_grams(learning_rows(
+        known, 0.0, fit_share, round(fit_docs / fit_share), sizes, seed), order), "grams") \
+        if sizes else None
+    languages = sorted(r[0] for r in grams.select("lang").distinct().collect()) if sizes else []
+    if not languages:
+        return Model([], 2, [])
+    model = fit_grams(grams, languages, order)
     held = learning_rows(known, fit_share, 1.0, round(calibration_docs / (1 - fit_share)), sizes, seed)
     shared = spark.sparkContext.broadcast(model)
     scored = held.select("lang", identify(F.col("text"), shared).alias("r"))

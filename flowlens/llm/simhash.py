@@ -12,8 +12,12 @@ from flowlens.llm.components import connected_components
 from flowlens.llm.texts import once, stored, unused, utf8
 
 BITS = 64
-#: Variants that one task sorts at once (8 bytes each, some copies while sorting).
-TASK_VARIANTS = 4_000_000
+#: Variants that one task sorts at once (about 40 bytes each with all copies).
+TASK_VARIANTS = 500_000
+#: Bits by which a prefix with too many variants is split.
+STEP_BITS = 8
+#: Prefixes to split that are broadcast; a longer list is joined by a shuffle.
+LISTED_PREFIXES = 100_000
 
 
 def simhash(text: bytes | None, shingle_words: int, seed: int) -> int:
@@ -57,18 +61,25 @@ def masks(bits: int, flips: int) -> list[int]:
             for chosen in combinations(range(bits), n)]
 
 
-def colliding(values: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(owner, smallest owner) of every variant that two owners have."""
+def colliding(values: np.ndarray, owners: np.ndarray,
+              inner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, smallest inner owner) of every variant that two owners have.
+
+    ``inner`` marks the variants that count as such; without it all do.
+    """
     ordered = np.sort(values)
     repeated = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     if not len(repeated):
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return owners[:0], owners[:0]
     at = np.minimum(np.searchsorted(repeated, values), len(repeated) - 1)
-    shared = repeated[at] == values
+    shared = np.flatnonzero(repeated[at] == values)
     at, owners = at[shared], owners[shared]
-    smallest = np.full(len(repeated), np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(smallest, at, owners)
-    return owners, smallest[at]
+    none = np.iinfo(owners.dtype).max
+    smallest = np.full(len(repeated), none, owners.dtype)
+    chosen = slice(None) if inner is None else inner[shared]
+    np.minimum.at(smallest, at[chosen], owners[chosen])
+    linked = (smallest[at] != none) & (smallest[at] != owners)
+    return owners[linked], smallest[at][linked]
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,19 +100,56 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[linked], nodes[label[linked]]
 
 
-def hot_prefixes(owns: DataFrame, flips: Column, local: list[int], task_variants: int) -> DataFrame:
-    """(dest, shares) of the prefixes that get over ``task_variants`` variants.
+def next_bits(bits: int, step: int) -> Column:
+    """The ``step`` bits of ``fp`` behind the first ``bits``."""
+    return F.shiftrightunsigned("fp", BITS - bits - step).bitwiseAND((1 << step) - 1)
+
+
+def flips_of(step: int, half: int) -> Column:
+    """Array of (mask, left) for a row with ``left`` flips: all masks of ``step`` bits."""
+    by_left = [F.array(*[F.struct(F.lit(m).cast("bigint").alias("mask"),
+                                  F.lit(left - m.bit_count()).alias("left"))
+                         for m in masks(step, left)]) for left in range(half + 1)]
+    return F.element_at(F.array(*by_left), F.col("left") + 1)
 
-    All variants that a prefix receives count, also from prefixes a flip or two away.
-    Fingerprints are counted by prefix first, so at most 2 ** prefix_bits rows, 65,536, are
-    sent over the flips.
+
+def dealt(prints: DataFrame, half: int, task_variants: int,
+          prefix_bits: int | None = None) -> list[tuple[int, DataFrame]]:
+    """(bits, rows) by level; rows are (fp, dest, left), and ``dest`` the first ``bits`` bits.
+
+    Each row stands for the variants of a fingerprint that begin with ``dest`` and have up
+    to ``left`` flips behind it. All levels together hold every variant once. A prefix
+    that would get over a quarter of ``task_variants`` is not given out but split by
+    STEP_BITS further bits, at the next level, together with the others that are too big; a
+    fingerprint has at most as many rows as variants, however many others are near it.
     """
-    made = F.element_at(F.array(*[F.lit(n).cast("bigint") for n in local]), F.col("flip.left") + 1)
-    return (owns.groupBy("own").count().select("own", "count", F.explode(flips).alias("flip"))
-            .groupBy(F.col("own").bitwiseXOR(F.col("flip.mask")).alias("dest"))
-            .agg(F.sum(F.col("count") * made).alias("variants"))
-            .where(F.col("variants") > task_variants)
-            .select("dest", F.ceil(F.col("variants") / task_variants).cast("int").alias("shares")))
+    total = prints.count() * len(masks(BITS, half))
+    if prefix_bits is None:
+        groups = max(1, 8 * total // task_variants)
+        prefix_bits = min(40, max(4, (groups - 1).bit_length()))
+    waiting, bits, step, levels = prints.select(
+        "fp", F.lit(0).cast("bigint").alias("dest"), F.lit(half).alias("left")), 0, prefix_bits, []
+    while True:
+        rest = BITS - bits - step
+        made = F.element_at(F.array(*[F.lit(len(masks(rest, n))).cast("bigint")
+                                      for n in range(half + 1)]), F.col("flip.left") + 1)
+        dest = F.shiftleft("dest", step).bitwiseOR(F.col("own").bitwiseXOR(F.col("flip.mask")))
+        owns = waiting.withColumn("own", next_bits(bits, step))
+        flips = F.explode(flips_of(step, half)).alias("flip")
+        big = (owns.groupBy("dest", "left", "own").count().select("dest", "own", "count", flips)
+               .groupBy(dest.alias("dest")).agg(F.sum(F.col("count") * made).alias("variants"))
+               .where(F.col("variants") > task_variants // 4).select("dest"))
+        routed = owns.select("fp", "dest", "own", flips).select(
+            "fp", dest.alias("dest"), F.col("flip.left").alias("left"))
+        bits += step
+        big = stored(big, "big_prefixes") if bits < BITS else big.limit(0)
+        n_big = big.count() if bits < BITS else 0
+        if not n_big:
+            return [*levels, (bits, routed)]
+        listed = F.broadcast(big) if n_big <= LISTED_PREFIXES else big
+        levels.append((bits, routed.join(listed, "dest", "left_anti")))
+        waiting = stored(routed.join(listed, "dest", "left_semi"), "split_prefixes")
+        step = min(STEP_BITS, BITS - bits)
 
 
 def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int | None = None,
@@ -110,63 +158,70 @@ def ball_links(prints: DataFrame, max_bits: int = 4, prefix_bits: int | None = N
 
     ``prints`` has one bigint column ``fp`` of distinct fingerprints. Two fingerprints
     differ in at most r bits exactly if some value is within half of r of both, so every
-    fingerprint stands for all its variants with up to half of r flipped bits. Variants
-    are dealt to tasks by their leading ``prefix_bits``. A fingerprint is sent once to
-    each prefix that its variants have, with the flips that are left for the other bits,
-    and the receiving task makes the variants: 64 bits and r = 4 are 2,081 variants, but
-    only 37 to 137 rows. A prefix with many fingerprints is dealt to several tasks; each
-    makes the variants of one share of the hash space, so no task holds over about
-    ``task_variants`` variants. It does receive all fingerprints that reach its prefix.
-
-    Variants that meet are verified by bit count, and a task returns its links as a
+    fingerprint stands for all its variants with up to half of r flipped bits. For an odd
+    r one of two must be within the greater half and the other within the smaller: variants
+    have up to the greater half of flips, and those with fewer are inner ones.
+
+    Variants meet in tasks chosen by their leading bits. A fingerprint is sent once to each
+    prefix that its variants have, with the flips that are left for the other bits, and
+    the receiving task makes the variants there: 64 bits and r = 4 are 2,081 variants, but
+    only 37 rows for 8 bits and 301 for 24. ``dealt`` splits prefixes with many variants by
+    further bits, so a task makes about ``task_variants`` whatever the data, and no variant
+    is made twice.
+
+    Every owner of a variant is linked to the smallest inner owner, which is within r; all
+    pairs that must be linked are then connected through it. A task returns its links as a
     forest: for each fingerprint the smallest one it is connected with there. So a group
     of n near copies gives about n links a task, never n squared.
     """
-    half = (max_bits + 1) // 2
-    if prefix_bits is None:
-        ball = len(masks(BITS, half))
-        groups = max(1, prints.count() * ball * 2 // task_variants)
-        prefix_bits = min(16, max(4, (groups - 1).bit_length()))
-    rest = BITS - prefix_bits
-    local = [len(masks(rest, left)) for left in range(half + 1)]
-    prefix = F.shiftrightunsigned("fp", rest).cast("int")
-    flips = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(half - m.bit_count()).alias("left"))
-                      for m in masks(prefix_bits, half)])
-    hot = hot_prefixes(prints.select(prefix.alias("own")), flips, local, task_variants)
-    routed = (prints.select("fp", prefix.alias("own"), F.explode(flips).alias("flip"))
-              .select("fp", F.col("own").bitwiseXOR(F.col("flip.mask")).alias("dest"),
-                      F.col("flip.left").alias("left"))
-              .join(F.broadcast(hot), "dest", "left")
-              .withColumn("shares", F.coalesce("shares", F.lit(1)))
-              .withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))))
-    low = np.uint64((1 << rest) - 1)
-    mix = np.uint64(0x9E3779B97F4A7C15)
-
-    def meet(rows: pa.Table) -> pa.Table:
-        prints = rows["fp"].to_numpy().view(np.uint64)
-        left = rows["left"].to_numpy()
-        shares, share = rows["shares"][0].as_py(), rows["share"][0].as_py()
-        values, owners = [], []
-        for n in range(half + 1):
-            own = prints[left == n]
-            patterns = np.array(masks(rest, n), np.uint64)
-            step = max(1, task_variants // len(patterns))
-            for at in range(0, len(own), step):
-                block = own[at:at + step]
-                made = ((block & low)[:, None] ^ patterns[None, :]).ravel()
-                owner = np.repeat(block, len(patterns))
-                if shares > 1:
-                    mine = ((made * mix) >> np.uint64(40)) % np.uint64(shares) == share
-                    made, owner = made[mine], owner[mine]
-                values.append(made)
-                owners.append(owner)
-        a, b = colliding(np.concatenate(values), np.concatenate(owners))
-        near = (np.bitwise_count(a ^ b) <= max_bits) & (a != b)
+    half, odd = (max_bits + 1) // 2, max_bits % 2
+    found = None
+    for bits, rows in dealt(prints, half, task_variants, prefix_bits):
+        links = met(rows, BITS - bits, half, odd, max_bits, task_variants)
+        found = links if found is None else found.union(links)
+    return found.distinct()
+
+
+def met(rows: DataFrame, rest: int, half: int, odd: int, max_bits: int,
+        task_variants: int) -> DataFrame:
+    """Links of the variants of rows (fp, dest, left), which flip the last ``rest`` bits.
+
+    Prefixes are dealt to buckets of about half of ``task_variants``, so that many small
+    ones share a call.
+    """
+    patterns = [np.array(masks(rest, n), np.uint64) for n in range(half + 1)]
+    made = F.element_at(F.array(*[F.lit(len(p)).cast("bigint") for p in patterns]),
+                        F.col("left") + 1)
+    variants = rows.agg(F.sum(made)).first()[0] or 0
+    buckets = max(1, -(-2 * variants // task_variants))
+
+    def meet(table: pa.Table) -> pa.Table:
+        prints, owner = np.unique(table["fp"].to_numpy().view(np.uint64), return_inverse=True)
+        left = table["left"].to_numpy()
+        low = np.uint64((1 << rest) - 1)
+        base = ((table["dest"].to_numpy().view(np.uint64) << np.uint64(rest))
+                | (prints[owner] & low))
+        sizes = np.array([len(p) for p in patterns])[left]
+        values = np.empty(sizes.sum(), np.uint64)
+        owners = np.empty(len(values), np.int32)
+        inner = np.ones(len(values), bool) if odd else None
+        to = 0
+        for n, flips in enumerate(patterns):
+            own = np.flatnonzero(left == n)
+            at, to = to, to + len(own) * len(flips)
+            np.bitwise_xor(base[own][:, None], flips[None, :],
+                           out=values[at:to].reshape(len(own), len(flips)))
+            owners[at:to] = np.repeat(owner[own].astype(np.int32), len(flips))
+            if odd:
+                inner[at:to] = np.tile(np.bitwise_count(flips) < n, len(own))
+        one, other = colliding(values, owners, inner)
+        a, b = prints[one], prints[other]
+        near = np.bitwise_count(a ^ b) <= max_bits
         a, b = forest(a[near], b[near])
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    links = routed.groupBy("dest", "share").applyInArrow(meet, "a bigint, b bigint")
-    return links.distinct()
+    bucket = F.pmod(F.xxhash64("dest"), F.lit(buckets))
+    return rows.groupBy(bucket.alias("bucket")).applyInArrow(meet, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, shingle_words: int = 4,

@@ -1,8 +1,11 @@
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from flowlens.llm.language import Scorer, fit, identify_rows, kneser_ney, words_of
@@ -91,12 +94,60 @@ def test_probabilities_sum_to_one():
 
 def test_cache_overflow_gives_the_same():
     model = kneser_ney({k: grams(v.split(), 3) for k, v in (("x", "the then"), ("y", "der die"))}, 3)
-    texts = [b"the der", b"then zz yy", b"die die die", None, b"123 !?"] * 3
+    pick = random.Random(2)
+    long = " ".join("".join(pick.choices("dehirt", k=pick.randint(1, 9))) for _ in range(4000))
+    texts = [b"the der", b"then zz yy", long.encode(), b"die die die", None, b"123 !?"] * 3
     small, large = Scorer(model, 2), Scorer(model)
-    assert small.score_all(texts) == large.score_all(texts)
+    for one, other in zip(small.score_all(texts), large.score_all(texts)):
+        assert one["lang"] == other["lang"] and one["score"] == pytest.approx(other["score"])
+    assert len(small.rows) <= small.most == 64 and small.table.nbytes == 64 * 2 * 8
     assert large.score_all([None])[0]["lang"] == "und"
 
 
+@pytest.mark.parametrize("text, words", [
+    ("²", []), ("½ Ⅷ ³", []), ("12_3 ٣", []), ("नमस्ते दुनिया", ["नमस्ते", "दुनिया"]), ("ไทย", ["ไทย"]),
+    ("e\u0301te\u0301", ["e\u0301te\u0301"]), ("\u0301x", ["x"]), ("a1b", ["a", "b"]),
+    ("中文 字", ["中文", "字"]), ("İx", ["i\u0307x"]), ("ªº", ["ªº"])])
+def test_words_are_letters_and_their_marks(text, words):
+    assert words_of(text.encode()) == words
+    model = kneser_ney({"x": grams(["abc"], 3)}, 3)
+    found = Scorer(model).score_all([text.encode()])[0]
+    assert found["lang"] == ("x" if words else "und")
+
+
+def test_many_small_languages_in_stated_memory(make_docs):
+    """300 languages: an n-gram costs the languages that have it, not all of them."""
+    pick = random.Random(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
+    alphabets = [pick.sample(letters, 12) for _ in range(300)]
+
+    def text(own):
+        return " ".join("".join(pick.choices(own, k=pick.randint(2, 6))) for _ in range(30))
+
+    docs = make_docs(*[(i, text(alphabets[i % 300])) for i in range(3000)])
+    docs = docs.withColumn("lang", F.concat(F.lit("l"), F.col("doc_id") % 300))
+    model = fit(docs)
+    assert len(model.languages) == 300
+    pairs = sum(len(t.value) for x in model.levels for t in (x.grams, x.contexts))
+    assert model.nbytes <= 22 * pairs + 80
+    assert model.nbytes < 40_000_000
+    scorer = Scorer(model)
+    assert scorer.table.nbytes <= 8 * 1_600_000
+    found = scorer.score_all([text(own).encode() for own in alphabets])
+    assert sum(r["lang"] == f"l{i}" for i, r in enumerate(found)) >= 295
+
+
+def test_sample_is_by_text_and_counts_copies_once(make_docs):
+    texts = [f"wort{i} und haus{i * 7}" for i in range(40)]
+    once_each = make_docs(*enumerate(texts))
+    many = make_docs(*[(1000 + 13 * i, t) for i, t in enumerate(texts)],
+                     *[(5000 + i, texts[3]) for i in range(500)])
+    a, b = fit(once_each, fit_docs=300), fit(many, fit_docs=300)
+    assert a.languages == b.languages and a.nbytes == b.nbytes
+    for x, y in zip(a.levels, b.levels):
+        assert (x.grams.keys == y.grams.keys).all() and (x.grams.value == y.grams.value).all()
+
+
 def test_odd_rows(odd_docs, make_docs):
     empty = fit(odd_docs.limit(0))
     rows = identify_rows(odd_docs, empty).collect()

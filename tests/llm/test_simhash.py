@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from flowlens.llm.components import connected_components
-from flowlens.llm.simhash import ball_links, keep_one_each, near_duplicates
+from flowlens.llm.simhash import ball_links, dealt, keep_one_each, masks, near_duplicates
 
 
 def brute_print(text):
@@ -86,24 +86,60 @@ def test_links_connect_all_near_prints(spark, options):
         assert reach(p, neighbours.__getitem__) == expected
 
 
-def test_neighbours_of_a_hot_prefix_are_dealt(spark):
-    """1,000 fingerprints of prefix 5 make 61 variants each in a prefix one flip away."""
-    from flowlens.llm.simhash import hot_prefixes, masks
-    local = [len(masks(60, n)) for n in range(3)]
-    flips = F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(2 - m.bit_count()).alias("left"))
-                      for m in masks(4, 2)])
-    owns = spark.range(1000).select(F.lit(5).alias("own"))
-    found = {r.dest: r.shares for r in hot_prefixes(owns, flips, local, 10_000).collect()}
-    wanted = {5 ^ m: -(-1000 * local[2 - m.bit_count()] // 10_000) for m in masks(4, 1)}
-    assert found == wanted and min(found.values()) > 1
-
-
-def test_odd_radius_is_verified(spark):
-    """Variants within two bits meet at distance four, which a limit of three excludes."""
-    table = spark.createDataFrame([(0,), (0b1111,), (0b111,)], "fp bigint")
-    found = {(r.a, r.b) for r in ball_links(table, 3).collect()}
-    roots = connected_components(ball_links(table, 3)).collect()
-    assert {r.node: r.root for r in roots} == {0: 0, 7: 0, 15: 0} and (15, 0) not in found
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3, 4, 5])
+def test_every_radius_equals_brute_force(spark, max_bits):
+    """Dense clusters, where the smallest owner of a variant is often too far from another."""
+    pick = random.Random(max_bits)
+    prints = {2, 5, 6, 7}
+    for _ in range(4):
+        centre = pick.getrandbits(64)
+        spots = pick.sample(range(64), 14)
+        for _ in range(40):
+            prints.add(centre ^ sum(1 << b for b in pick.sample(spots, pick.randint(0, 7))))
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp bigint")
+    links = ball_links(table, max_bits, task_variants=200_000 if max_bits == 5 else 20_000)
+    pairs = {(r.a % (1 << 64), r.b % (1 << 64)) for r in links.collect()}
+    wanted = brute_groups(prints, lambda x, y: (x ^ y).bit_count() <= max_bits)
+    assert brute_groups(prints, lambda x, y: (x, y) in pairs or (y, x) in pairs) == wanted
+    assert max_bits == 0 or 4 < len(wanted) < len(prints)
+
+
+def brute_groups(prints, linked):
+    """Sets of connected fingerprints."""
+    left, groups = set(prints), set()
+    while left:
+        todo = [left.pop()]
+        group = set(todo)
+        while todo:
+            x = todo.pop()
+            near = {y for y in left if linked(x, y)}
+            left -= near
+            group |= near
+            todo += near
+        groups.add(frozenset(group))
+    return groups
+
+
+def test_work_of_a_hot_cluster_is_proportional(spark):
+    """20,000 near copies: every variant is dealt once, and no prefix holds too many."""
+    pick = random.Random(8)
+    centre = pick.getrandbits(64)
+    prints = {centre}
+    while len(prints) < 20_000:
+        prints.add(centre ^ sum(1 << b for b in pick.sample(range(64), pick.randint(1, 5))))
+    table = spark.createDataFrame([(signed(p),) for p in prints], "fp bigint")
+    made, levels = 0, dealt(table, 2, 500_000)
+    assert len(levels) > 1
+    for bits, rows in levels:
+        size = F.element_at(F.array(*[F.lit(len(masks(64 - bits, n))) for n in range(3)]),
+                            F.col("left") + 1)
+        groups = rows.groupBy("dest").agg(F.sum(size).alias("n"), F.count("fp").alias("rows"))
+        row = groups.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+        made += row.n
+        assert row.most <= 125_000
+    assert made == 20_000 * 2081
+    roots = connected_components(ball_links(table, 4)).select("root").distinct().count()
+    assert roots == 1
 
 
 def test_chain_and_star_components(spark):
