@@ -73,7 +73,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--first-k", type=int, default=2)
     p.add_argument("--last-k", type=int, default=60)
     p.add_argument("--scaled", action="store_true")
-    p.add_argument("--parallelism", type=int, default=4)
+    p.add_argument("--each", action="store_true", help="one fit per number of clusters")
+    p.add_argument("--parallelism", type=int, default=4, help="fits at a time, with --each")
 
     p = job("learn", "train a detector from a stored training set")
     p.add_argument("--training-set", required=True)
@@ -105,7 +106,7 @@ def parser() -> argparse.ArgumentParser:
     p = job("compact", "rewrite a closed day of a table as one load")
     p.add_argument("--table", required=True)
     p.add_argument("--day", required=True)
-    p.add_argument("--staging", required=True, help="new folder for the day's rows meanwhile")
+    p.add_argument("--keep-replaced", action="store_true", help="leave the old loads' files")
     return top
 
 
@@ -161,7 +162,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "elbow":
         table = read_features(spark, args.features, args.first_day, args.last_day)
         snapshot_and_sweep(table, args.root, range(args.first_k, args.last_k + 1),
-                           args.scaled, args.parallelism)
+                           args.scaled, method="each" if args.each else "shared",
+                           parallelism=args.parallelism)
     elif args.job == "learn":
         train(read_training_set(spark, args.training_set), args.k, args.percentile, args.root,
               mode="overwrite" if args.overwrite else "errorifexists")
@@ -180,7 +182,7 @@ def main(argv: list[str] | None = None) -> None:
         score_history(spark, args.features, Detector.load(spark, detector()), args.first_day,
                       args.last_day, args.anomalies, args.load_id, sender())
     elif args.job == "compact":
-        compact_day(spark, args.table, args.day, args.staging)
+        compact_day(spark, args.table, args.day, args.keep_replaced)
     else:
         rows = read_labelled_csv(spark, args.csv, "drop" if args.drop_bad_rows else "fail")
         scored = score_labelled(rows, Detector.load(spark, detector()))

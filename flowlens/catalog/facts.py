@@ -5,6 +5,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.sweep import centers_of, scan
+
 
 def fit_facts(scored: DataFrame, k: int, training_cost: float) -> DataFrame:
     """One row about rows with normalizedFeatures, prediction, distance and ``other``.
@@ -40,9 +42,19 @@ def rank_facts(flagged: DataFrame, percentile: int) -> DataFrame:
         F.bool_and((F.col("above") <= implied) & (implied <= F.col("from_it"))).alias("ranks_hold"))
 
 
-def elbow_facts(points: DataFrame, table: DataFrame, column: str = "features") -> DataFrame:
-    """(k, below_one): whether each cost is below that of one cluster, from the data."""
+def elbow_facts(clusters: DataFrame, table: DataFrame, column: str = "features") -> DataFrame:
+    """One row per k of a stored sweep, from a second pass of the rows over its centres.
+
+    ``n_rows`` have a nearest centre; ``cost_holds``: the stored costs are those of the
+    centres; ``below_one``: their sum is below the cost of one cluster, from the data.
+    """
     width = len(table.select(column).first()[0])
     row = table.agg(*[F.var_pop(F.col(column)[i]) for i in range(width)], F.count(F.lit(1))).first()
     one = math.fsum(row[:-1]) * row[-1]
-    return points.select("k", (F.col("cost") < one).alias("below_one"))
+    again = [(k, int(m.n.sum()), float(m.cost.sum()))
+             for k, m in scan(table, centers_of(clusters), column).items()]
+    found = table.sparkSession.createDataFrame(again, "k int, n_rows bigint, again double")
+    stored = clusters.groupBy("k").agg(F.sum("cost").alias("cost"))
+    return stored.join(found, "k").select(
+        "k", "n_rows", (F.col("again") < one).alias("below_one"),
+        (F.abs(F.col("cost") - F.col("again")) <= 1e-9 * one).alias("cost_holds"))

@@ -94,3 +94,22 @@ ODD_LINE = ("""concat('{{"sensor_type":"netflow","src_ip":"10.0.0.', cast(user_i
             """ case when event_id % 7 = 0 then '' else '}}' end)""")
 ODD_REASON = ("case when event_id % 7 = 0 then 'line'"
               " when event_id % 5 in (0, 1) then 'src_port' end")
+
+
+#: Fields that no schema declares, which some lines have: SQL text of the value, and the type to read it as.
+EXTRA_COLUMNS = {
+    "exporter_build": "case when event_id % 6 = 0 then cast(event_id % 9 as {S})"
+                      " when event_id % 6 = 3 then 'nightly' end",
+    "tenant": "case when event_id % 4 < 3 then concat('t', cast(user_id % 5 as {S})) end",
+}
+EXTRA_FIELDS = {name: "string" for name in EXTRA_COLUMNS}
+
+
+def drifting_lines(events: DataFrame) -> DataFrame:
+    """Flow lines with the extra fields; ``exporter_build`` is a number or a text."""
+    extra = [f"{text.format(**SPARK_WORDS)} as {name}" for name, text in EXTRA_COLUMNS.items()]
+    rows = events.selectExpr(*flow_expressions(SPARK_WORDS), *extra)
+    line = F.to_json(F.struct("*"))
+    # A build of digits only stands as a number.
+    return rows.select(F.regexp_replace(line, r'"exporter_build":"(\d+)"',
+                                        r'"exporter_build":$1').alias("value"))

@@ -1,10 +1,11 @@
 """DuckDB SQL for the registered queries, over the same tables."""
 
 from flowlens.catalog.flows import (
-    CUT_LABELS, CUTS, DUCKDB_WORDS, ODD_LINE, ODD_REASON, flow_expressions,
+    CUT_LABELS, CUTS, DUCKDB_WORDS, EXTRA_COLUMNS, ODD_LINE, ODD_REASON, flow_expressions,
 )
 from flowlens.catalog.queries import (
-    FIRST_DAY, FIT_K, K, LAST_DAY, LINE_KEYS, PERCENTILE, SCORE_FIRST_DAY, SEGMENT, STEPS, TRAIN_LAST_DAY,
+    FIRST_DAY, FIT_K, K, LAST_DAY, LINE_KEYS, PERCENTILE, SCORE_FIRST_DAY, SEGMENT, STEPS, SWEEP_KS,
+    SWEEP_STEPS, TRAIN_LAST_DAY,
 )
 from flowlens.functions.anomaly_columns import EVENT_TYPE, PORT_LIMIT, PROTOCOL_LIMIT
 from flowlens.schemas import (
@@ -147,21 +148,42 @@ def records(rows_where: str = "", train_where: str = "", **options) -> str:
                  train_where=train_where, rows_where=rows_where, steps=RECORDS, **options)
 
 
-def elbow_pinned(ks: range, steps: int) -> str:
-    parts, selects = [], []
-    for k in ks:
-        parts += pinned(k, steps, f"{k}x")
-        parts.append(nearest(f"n{k}", "train_z", f"c{k}x_{steps}"))
-        selects.append(f"SELECT {k} AS k, round(sum(best.d * best.d), 4) AS cost FROM n{k}")
-    return with_steps([ALL_FLOWS, FLOWS, features(DAY), *scaling("features", "features"), *parts],
-                      " UNION ALL ".join(selects))
+def sweep_steps(ks: range, steps: int) -> list[tuple[str, str]]:
+    """Pinned centres of all counts together; ``w{steps}`` and their rows ``v{steps}``."""
+    means = ", ".join(f"avg(zv[{i + 1}])" for i in range(len(FEATURES)))
+    out = [("w0", f"""SELECT k, (row_id - 1)::INTEGER AS p, zv AS c
+                      FROM train_z, range({ks.start}, {ks.stop}) r(k) WHERE row_id <= k""")]
+    for i in range(steps + 1):
+        out.append((f"v{i}", f"""
+            SELECT k, row_id, min(struct_pack(d := list_distance(zv, c), p := p)) AS best
+            FROM train_z, w{i} GROUP BY k, row_id"""))
+        if i < steps:
+            out.append((f"w{i + 1}", f"""
+                SELECT k, p, coalesce(m.c, w{i}.c) AS c FROM w{i} LEFT JOIN (
+                    SELECT k, best.p AS p, [{means}]::DOUBLE[] AS c
+                    FROM train_z JOIN v{i} USING (row_id) GROUP BY k, best.p) m USING (k, p)"""))
+    return out
+
+
+def pinned_sweep(final: str) -> str:
+    return with_steps([ALL_FLOWS, FLOWS, features(DAY), *scaling("features", "features"),
+                       *sweep_steps(SWEEP_KS, SWEEP_STEPS)], final.format(n=SWEEP_STEPS))
+
 
+SWEEP_POINTS = pinned_sweep("""
+    SELECT k::INTEGER AS k, round(sum(best.d * best.d), 4) AS cost FROM v{n} GROUP BY k""")
+SWEEP_CENTERS = pinned_sweep("""
+    SELECT k::INTEGER AS k, p AS prediction, count(row_id) AS n_rows,
+           round(coalesce(sum(v.best.d * v.best.d), 0), 4) AS cost
+    FROM w{n} w LEFT JOIN (SELECT *, best.p AS p FROM v{n}) v USING (k, p) GROUP BY k, p""")
 
-def scaler_stats() -> str:
+
+def scaler_stats(where: str = "") -> str:
     rows = " UNION ALL ".join(
         f"SELECT {i}::INTEGER AS idx, '{c}' AS feature, round(m_{c}, 6) AS mean,"
         f" round(s_{c}, 6) AS std FROM stats" for i, c in enumerate(FEATURES))
-    return with_steps([ALL_FLOWS, FLOWS, features(DAY), *scaling("features", "features")], rows)
+    return with_steps([ALL_FLOWS, FLOWS, features(DAY), ("chosen", f"SELECT * FROM features {where}"),
+                       *scaling("chosen", "chosen")], rows)
 
 
 def exploded(vector: str, source: str, value: str, key: str = KEY_LIST) -> str:
@@ -224,7 +246,55 @@ LABELLED = model(f"""
                {LABEL_COLUMNS.replace("n_octetos >", f"fv[{FEATURES.index('n_octetos') + 1}] >")}
         FROM rows_scored JOIN boundaries USING (prediction)""")
 
+def field_rows(kind: str, extra: bool) -> list[str]:
+    """A SELECT of (field, type) of the lines that have the field, for every field."""
+    columns = {c: ("STRING" if c in TEXT_FIELDS else kind) for c in RAW_SCHEMA.names}
+    rows = [f"SELECT '{c}' AS field, {k if k != 'STRING' else repr(k)} AS type, TRUE AS declared"
+            f" FROM flows WHERE {c} IS NOT NULL" for c, k in columns.items()]
+    if extra:
+        rows += [f"SELECT '{c}', {'VARIANT' if c == 'exporter_build' else 'STRING'!r}, FALSE"
+                 f" FROM events WHERE event_id % 20 <> 19 AND ({text.format(**DUCKDB_WORDS)})"
+                 " IS NOT NULL" for c, text in EXTRA_COLUMNS.items()]
+    return rows
+
+
+TEXT_FIELDS = [f.name for f in RAW_SCHEMA if f.dataType.simpleString() == "string"]
+#: Numbers of lines whose port leaves 0, 1, 2 by three: as they are, as text, with a fraction.
+MIXED = "['BIGINT', 'STRING', 'DECIMAL'][src_port % 3 + 1]"
+
+
+def field_counts(kind: str, extra: bool) -> str:
+    return with_steps([ALL_FLOWS, FLOWS], f"""SELECT field, type, count(*) AS n_lines, declared
+        FROM ({" UNION ALL ".join(field_rows(kind, extra))}) GROUP BY field, type, declared""")
+
+
+EXTRA_EVENTS = with_steps(
+    [("drifting", f"SELECT {', '.join(flow_expressions(DUCKDB_WORDS))}, "
+      + ", ".join(f"{text.format(**DUCKDB_WORDS)} AS {name}" for name, text in EXTRA_COLUMNS.items())
+      + " FROM events")],
+    f"""SELECT {', '.join([*RAW_SCHEMA.names, *EXTRA_COLUMNS])}
+        FROM drifting WHERE sensor_type = 'netflow'""")
+
+SUMMED = [c for c in FEATURES if c not in ("n_src_port", "n_dst_port")]
+NEAR = "n_src_port, n_dst_port, TRUE AS n_src_port_near, TRUE AS n_dst_port_near"
+
+REFRESHED = model(f"""
+    SELECT prediction::INTEGER AS prediction, count(*) AS n_rows, TRUE AS all_rows, TRUE AS rank_near
+    FROM train_scored {BETWEEN} GROUP BY prediction""")
+
+
 ORACLES: dict[str, str] = {
+    "connection_rollup": with_steps(
+        [ALL_FLOWS, FLOWS, features(DAY)],
+        f"SELECT {KEY_LIST}, {', '.join(SUMMED)}, {NEAR} FROM features"),
+    "address_rollup": with_steps([ALL_FLOWS, FLOWS], f"""
+        SELECT src_ip, {', '.join(SUMMED)}, {NEAR}
+        FROM (SELECT src_ip, {counters()} FROM flows GROUP BY src_ip)"""),
+    "boundaries_refreshed": REFRESHED,
+    "scaler_from_moments": scaler_stats(BETWEEN),
+    "flow_json_schema": field_counts("'BIGINT'", True),
+    "flow_json_mixed_types": field_counts(MIXED, False),
+    "flow_json_extra": EXTRA_EVENTS,
     "connection_features": feature_query(FIVE_MINUTES),
     "connection_features_batch": with_steps([ALL_FLOWS, FLOWS], BATCH),
     "connection_features_no_stats": feature_query(FIVE_MINUTES, exporter_stats=False),
@@ -252,7 +322,8 @@ ORACLES: dict[str, str] = {
                              " FROM train_scored"),
     "clustering_cost": model("SELECT round(sum(distance * distance), 4) AS cost"
                              " FROM train_scored"),
-    "elbow_curve_pinned": elbow_pinned(range(2, 7), 2),
+    "elbow_curve_pinned": SWEEP_POINTS,
+    "elbow_shared_scan": SWEEP_CENTERS,
     "cluster_fit": model(f"""
         SELECT {FIT_K} AS k, count(*) AS n_rows,
                round(sum(list_inner_product(zv, zv)), 3) AS total_squares, TRUE AS all_nearest,
@@ -263,8 +334,10 @@ ORACLES: dict[str, str] = {
     "detector_from_model": with_steps(
         [ALL_FLOWS, FLOWS, features(DAY)],
         f"SELECT count(*) AS n_rows, {K} AS k, TRUE AS same FROM features"),
-    "elbow_curve": "SELECT k::INTEGER AS k, TRUE AS below_one FROM range(2, 61) r(k)",
-    "elbow_points_roundtrip": "SELECT k::INTEGER AS k, TRUE AS below_one FROM range(2, 7) r(k)",
+    "elbow_curve": with_steps([ALL_FLOWS, FLOWS, features(DAY)], """
+        SELECT k::INTEGER AS k, n_rows, TRUE AS below_one, TRUE AS cost_holds
+        FROM (SELECT count(*) AS n_rows FROM features), range(2, 61) r(k)"""),
+    "elbow_points_roundtrip": SWEEP_POINTS,
     "cluster_boundaries": model(BOUNDARY_ROWS),
     "cluster_boundaries_narrowed": model(BOUNDARY_ROWS),
     "cluster_boundaries_approx": model(f"""

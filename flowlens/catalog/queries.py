@@ -8,17 +8,26 @@ from pyspark.sql import functions as F
 
 from flowlens.catalog.facts import elbow_facts, fit_facts, rank_facts
 from flowlens.catalog.flows import (
-    CUT_LABELS, CUTS, ODD_LINE, SPARK_WORDS, events_table, flow_lines, flows, line_parts, typed_lines,
+    CUT_LABELS, CUTS, EXTRA_FIELDS, ODD_LINE, SPARK_WORDS, drifting_lines, events_table, flow_lines,
+    flows, line_parts, typed_lines,
 )
 from flowlens.functions.anomaly_columns import vector_text
 from flowlens.operators.boundaries import cluster_boundaries
+from flowlens.operators.boundary_sketches import (
+    SKETCH_K, append_sketches, rank_error, read_sketches, refreshed, united,
+)
 from flowlens.operators.clustering import (
-    assign, centers_table, clustering_cost, elbow_curve, elbow_curve_pinned, first_centers,
-    fit_clusters, refine_centers,
+    assign, centers_table, clustering_cost, elbow_curve_pinned, first_centers, fit_clusters,
+    pinned_sweep, refine_centers,
+)
+from flowlens.operators.connections import (
+    PORT_SKETCHES, SKETCHES, connection_features, fill_counters,
 )
-from flowlens.operators.connections import connection_features, fill_counters
 from flowlens.operators.detector import Detector, anomaly_documents, boundaries_table
+from flowlens.operators.moments import append_moments, read_moments, scaler_of_moments
+from flowlens.operators.rollups import rollup, within
 from flowlens.operators.scaling import fit_scaler, standardize, with_features
+from flowlens.operators.sweep import elbow_sweep
 from flowlens.plans.elbow import snapshot_and_sweep
 from flowlens.plans.evaluation import score_labelled
 from flowlens.plans.history import score_history
@@ -26,6 +35,7 @@ from flowlens.plans.learning import detector_path, distances_table, run_path, tr
 from flowlens.schemas import EXPORTER_SUMS, FEATURES, KEYS, LABELS
 from flowlens.sinks.tables import append_anomalies, append_features, compact_day, write_table
 from flowlens.sources.lines import file_lines, keep_netflow, netflow_events, rejected_lines
+from flowlens.sources.variants import field_types, field_values, variant_events
 from flowlens.sources.tables import (
     read_anomalies, read_features, read_labelled_csv, read_training_set, rejected_labelled_rows,
 )
@@ -36,6 +46,7 @@ from flowlens.workspace import work_path
 
 DAY = 86400
 K, STEPS, PERCENTILE = 5, 3, 92
+SWEEP_KS, SWEEP_STEPS = range(2, 61), 2
 FIRST_DAY, LAST_DAY = "2024-01-10", "2024-01-15"
 TRAIN_LAST_DAY, SCORE_FIRST_DAY = "2024-01-20", "2024-01-21"
 SEGMENT = "10:05:00"
@@ -197,23 +208,29 @@ def clustering_cost_query(spark, sf_dir):
 
 
 def elbow_curve_query(spark, sf_dir):
-    """All of 2..60."""
+    """All of 2..60 from a random start, and a second pass over the stored centres."""
     table = with_features(training_set(spark, sf_dir))
-    return elbow_facts(elbow_curve(table), table)
+    clusters = write_table(elbow_sweep(table).clusters(spark), work_path(spark, "clusters"))
+    return elbow_facts(clusters, table)
 
 
 def elbow_points_roundtrip(spark, sf_dir):
     root = work_path(spark, "elbow")
-    snapshot_and_sweep(daily(spark, sf_dir), root, range(2, 7))
-    table = with_features(read_training_set(spark, f"{root}/training_set"))
-    return elbow_facts(spark.read.parquet(f"{root}/elbow_points"), table)
+    snapshot_and_sweep(daily(spark, sf_dir), root, scaled=True, steps=SWEEP_STEPS)
+    return spark.read.parquet(f"{root}/elbow_points").withColumn("cost", rounded("cost", 4))
 
 
 def elbow_curve_pinned_query(spark, sf_dir):
-    points = elbow_curve_pinned(standardized(spark, sf_dir), range(2, 7), 2)
+    points = elbow_curve_pinned(standardized(spark, sf_dir), SWEEP_KS, SWEEP_STEPS)
     return points.withColumn("cost", rounded("cost", 4))
 
 
+def elbow_shared_scan(spark, sf_dir):
+    """Rows and cost of all 1,829 centres of the sweep."""
+    sweep = pinned_sweep(standardized(spark, sf_dir), SWEEP_KS, SWEEP_STEPS)
+    return sweep.clusters(spark).drop("center").withColumn("cost", rounded("cost", 4))
+
+
 def boundaries(spark, sf_dir, **options):
     found = cluster_boundaries(pinned_scored(spark, sf_dir), PERCENTILE, **options)
     return found.withColumn("boundary", rounded("boundary"))
@@ -391,7 +408,7 @@ def compacted_table_roundtrip(spark, sf_dir):
     for load in range(4):
         append_features(table.where(share == load), path, f"load{load}")
     for day in (FIRST_DAY, LAST_DAY, FIRST_DAY):
-        compact_day(spark, path, day, work_path(spark, "staging"))
+        compact_day(spark, path, day, keep_replaced=day == LAST_DAY)
     return read_features(spark, path)
 
 
@@ -446,6 +463,100 @@ def stream_score_windowed(spark, sf_dir, cuts: list[str] = CUTS):
     return rounded_records(read_anomalies(spark, table))
 
 
+LG_K = 12
+
+
+def stored_sketches(spark, sf_dir):
+    """Five-minute features with sketches, stored; rollups read these and no event."""
+    table = connection_features(flows(spark, sf_dir), lg_k=LG_K)
+    return write_table(table, work_path(spark, "sketches"))
+
+
+def with_exact_ports(rolled: DataFrame, exact: DataFrame, keys: list[str]) -> DataFrame:
+    """The rollup's sums, the exact port counts, and whether its estimates are near them."""
+    ports = exact.select(*keys, *[F.col(c).alias(f"exact_{c}") for c in PORT_SKETCHES])
+    same = rolled.join(ports, [rolled[k].eqNullSafe(ports[k]) for k in keys])
+    return same.select(
+        *[rolled[c] for c in rolled.columns if c not in (*PORT_SKETCHES, *SKETCHES)],
+        *[F.col(f"exact_{c}").alias(c) for c in PORT_SKETCHES],
+        *[within(rolled[c], F.col(f"exact_{c}"), LG_K).alias(f"{c}_near")
+          for c in PORT_SKETCHES])
+
+
+def connection_rollup(spark, sf_dir):
+    """Five minutes to days, without events."""
+    rolled = rollup(stored_sketches(spark, sf_dir), DAY)
+    return with_exact_ports(rolled, daily(spark, sf_dir), KEYS)
+
+
+def address_rollup(spark, sf_dir):
+    """Days to all time, and pairs to source addresses: a rollup of a rollup."""
+    by_day = rollup(stored_sketches(spark, sf_dir), DAY)
+    rolled = rollup(write_table(by_day, work_path(spark, "by_day")), None, ["src_ip"])
+    exact = flows(spark, sf_dir).groupBy("src_ip").agg(
+        F.count_distinct("src_port").alias("n_src_port"),
+        F.count_distinct("dst_port").alias("n_dst_port"))
+    return with_exact_ports(rolled, exact, ["src_ip"])
+
+
+LOADS = 4
+
+
+def in_loads(table: DataFrame) -> list[DataFrame]:
+    """The rows in four parts."""
+    part = F.pmod(F.xxhash64("src_ip", "dst_ip"), F.lit(LOADS))
+    return [table.where(part == i) for i in range(LOADS)]
+
+
+def boundaries_refreshed(spark, sf_dir):
+    """Boundaries of a range of days from four loads' sketches, and the ranks they have."""
+    detector, table = pinned_detector(spark, sf_dir)
+    path = work_path(spark, "distance_sketches")
+    for i, rows in enumerate([*in_loads(table), in_loads(table)[0]]):
+        append_sketches(rows, detector, path, f"load{i % LOADS}")
+    sketches = read_sketches(spark, path, detector, FIRST_DAY, LAST_DAY)
+    found = refreshed(sketches, detector, PERCENTILE)
+    days = detector.score(table.where(F.col("day").between(FIRST_DAY, LAST_DAY)))
+    own = boundaries_table(spark, found.boundaries)
+    ranks = days.join(F.broadcast(own), "prediction").groupBy("prediction").agg(
+        F.count("distance").alias("n_rows"),
+        F.count_if(F.col("distance") < F.col("boundary")).alias("below"),
+        F.count_if(F.col("distance") <= F.col("boundary")).alias("upto"))
+    share, error = PERCENTILE / 100, F.col("n_rows") * rank_error(SKETCH_K) + 1
+    united_rows = united(sketches, PERCENTILE).select("prediction", F.col("n_rows").alias("n"))
+    return ranks.join(united_rows, "prediction").select(
+        "prediction", "n_rows", (F.col("n") == F.col("n_rows")).alias("all_rows"),
+        ((F.col("below") - error <= F.col("n_rows") * share)
+         & (F.col("n_rows") * share <= F.col("upto") + error)).alias("rank_near"))
+
+
+def scaler_from_moments(spark, sf_dir):
+    """A scaler of a range of days from four loads' moments, one of them written twice."""
+    path = work_path(spark, "moments")
+    loads = in_loads(daily(spark, sf_dir))
+    for i, rows in enumerate([*loads, loads[1]]):
+        append_moments(rows, path, f"load{i if i < LOADS else 1}")
+    scaler = scaler_of_moments(read_moments(spark, path, FIRST_DAY, LAST_DAY))
+    return scaler.to_table(spark).select("idx", "feature", rounded("mean").alias("mean"),
+                                         rounded("std").alias("std"))
+
+
+def flow_json_schema(spark, sf_dir):
+    """Fields, types and declared or not, of lines with fields that come and go."""
+    return field_types(drifting_lines(events_table(spark, sf_dir)))
+
+
+def flow_json_mixed_types(spark, sf_dir):
+    """Every type that a field has, of lines with numbers in three forms."""
+    return field_values(typed_lines(events_table(spark, sf_dir)))
+
+
+def flow_json_extra(spark, sf_dir):
+    """Events with two fields that no schema declares, from the same parse."""
+    lines = drifting_lines(events_table(spark, sf_dir))
+    return variant_events(keep_netflow(lines), EXTRA_FIELDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "connection_features": connection_features_query,
     "connection_features_batch": connection_features_batch,
@@ -455,12 +566,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flow_json_parse": flow_json_parse,
     "flow_json_typed": flow_json_typed,
     "flow_json_rejected": flow_json_rejected,
+    "flow_json_schema": flow_json_schema,
+    "flow_json_mixed_types": flow_json_mixed_types,
+    "flow_json_extra": flow_json_extra,
     "history_day_range": history_day_range,
     "partitioned_table_roundtrip": partitioned_table_roundtrip,
     "compacted_table_roundtrip": compacted_table_roundtrip,
     "training_set_roundtrip": training_set_roundtrip,
+    "connection_rollup": connection_rollup,
+    "address_rollup": address_rollup,
     "feature_vector": feature_vector,
     "scaler_stats": scaler_stats,
+    "scaler_from_moments": scaler_from_moments,
     "standardized_features": standardized_features,
     "cluster_fit": cluster_fit,
     "cluster_fit_pinned": cluster_fit_pinned,
@@ -471,10 +588,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustering_cost": clustering_cost_query,
     "elbow_curve": elbow_curve_query,
     "elbow_curve_pinned": elbow_curve_pinned_query,
+    "elbow_shared_scan": elbow_shared_scan,
     "elbow_points_roundtrip": elbow_points_roundtrip,
     "cluster_boundaries": cluster_boundaries_query,
     "cluster_boundaries_narrowed": cluster_boundaries_narrowed,
     "cluster_boundaries_approx": cluster_boundaries_approx,
+    "boundaries_refreshed": boundaries_refreshed,
     "distances_table": distances_table_query,
     "anomaly_filter": anomaly_filter,
     "anomaly_flags": anomaly_flags,

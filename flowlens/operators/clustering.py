@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlens.functions.nearest import nearest_center
+from flowlens.operators.sweep import SEED, Sweep, elbow_sweep, shared_sweep
 from flowlens.schemas import KEYS
 
-SEED = 1234
-
 
 @dataclass(frozen=True)
 class Clusters:
@@ -104,16 +103,20 @@ def clustering_cost(assigned: DataFrame) -> DataFrame:
 
 def elbow_curve(table: DataFrame, ks: Iterable[int] = range(2, 61),
                 column: str = "features", seed: int = SEED, max_iter: int = 20,
-                init_steps: int = 5, parallelism: int = 4) -> DataFrame:
+                init_steps: int = 5, parallelism: int = 4, method: str = "shared") -> DataFrame:
     """Cost per number of clusters, as rows (k, cost).
 
     The default column holds the raw counters; pass ``normalizedFeatures`` for a curve on
-    the scale that training uses. Fits are independent: ``parallelism`` runs several at a
-    time, which fills the cluster while another fit waits for its last tasks. All fits
-    share one persisted copy of the vectors, in memory or on disk; partitions lost with an
-    executor are read again from the stored table.
+    the scale that training uses. ``shared`` moves the centres of all counts in the same
+    scans (``elbow_sweep``). ``each`` is one fit by Spark ML a count, ``parallelism`` of
+    them at a time over one persisted copy of the vectors; it reads the rows up to
+    ``max_iter`` times a count.
     """
     ks = list(ks)
+    if method == "shared":
+        return elbow_sweep(table, ks, column, seed, max_iter).points(table.sparkSession)
+    if method != "each":
+        raise ValueError("method must be 'shared' or 'each'")
     vectors = _vectors(table, column).persist(StorageLevel.MEMORY_AND_DISK)
 
     @inheritable_thread_target(table.sparkSession)
@@ -128,14 +131,15 @@ def elbow_curve(table: DataFrame, ks: Iterable[int] = range(2, 61),
     return table.sparkSession.createDataFrame(list(zip(ks, costs)), "k int, cost double")
 
 
-def elbow_curve_pinned(table: DataFrame, ks: Iterable[int], steps: int,
-                       column: str = "normalizedFeatures") -> DataFrame:
-    """The sweep from pinned starting centres, for repeatable results."""
+def pinned_sweep(table: DataFrame, ks: Iterable[int], steps: int,
+                 column: str = "normalizedFeatures") -> Sweep:
+    """The sweep from the first rows in key order, for repeatable results."""
     ks = list(ks)
     start = first_centers(table, max(ks), column)
-    points = []
-    for k in ks:
-        centers = refine_centers(table, start[:k], steps, column)
-        points.append((k, clustering_cost(assign(table.select(column), centers, column))
-                       .first()["cost"]))
-    return table.sparkSession.createDataFrame(points, "k int, cost double")
+    return shared_sweep(table, {k: start[:k] for k in ks}, steps, column, tolerance=None)
+
+
+def elbow_curve_pinned(table: DataFrame, ks: Iterable[int], steps: int,
+                       column: str = "normalizedFeatures") -> DataFrame:
+    """The curve of ``pinned_sweep``, as rows (k, cost)."""
+    return pinned_sweep(table, ks, steps, column).points(table.sparkSession)

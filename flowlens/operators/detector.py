@@ -1,5 +1,6 @@
 """A trained detector: scaler, centres and boundaries; scores connection features."""
 
+import hashlib
 import time
 import uuid
 from dataclasses import dataclass
@@ -48,6 +49,11 @@ class Detector:
         """The anomaly table's rows."""
         return anomaly_records(self.outliers(table), event_type)
 
+    def model_id(self) -> str:
+        """Names scaler and centres: the same for detectors that differ in boundaries only."""
+        numbers = [*self.scaler.mean, *self.scaler.std, *(v for c in self.centers for v in c)]
+        return hashlib.sha256(",".join(float(v).hex() for v in numbers).encode()).hexdigest()
+
     def parts(self, spark: SparkSession) -> DataFrame:
         """All numbers as rows (part, id, idx, value)."""
         rows = [(name, 0, i, float(v)) for name, values in
@@ -89,13 +95,20 @@ class Detector:
          .write.mode("append").parquet(table))
         return version
 
+    @staticmethod
+    def newest(spark: SparkSession, path: str) -> str:
+        """The name of the newest version."""
+        table = spark.read.schema(f"version string, {PARTS}").parquet(
+            f"{path.rstrip('/')}/versions")
+        return table.agg(F.max("version")).first()[0]
+
     @staticmethod
     def load(spark: SparkSession, path: str, version: str | None = None) -> "Detector":
         """The newest version, or the one named."""
         table = spark.read.schema(f"version string, {PARTS}").parquet(
             f"{path.rstrip('/')}/versions")
         if version is None:
-            version = table.agg(F.max("version")).first()[0]
+            version = Detector.newest(spark, path)
         return Detector.of_parts(table.where(F.col("version") == version).collect())
 
     @staticmethod

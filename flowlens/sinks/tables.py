@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowlens.sources.loads import COMPACTED, COMPACTION_LIST, COMPACTIONS, current_loads
 from flowlens.workspace import remove
 
 
@@ -15,6 +16,11 @@ def _write_load(table: DataFrame, path: str, load_id: str | None, partitions: li
      .partitionBy(*partitions, "load_id").parquet(path))
 
 
+def append_by_load(table: DataFrame, path: str, load_id: str | None = None) -> None:
+    """Append a summary of few rows, one folder per load; the same load id replaces its load."""
+    _write_load(table.hint("rebalance"), path, load_id, [])
+
+
 def append_features(table: DataFrame, path: str, load_id: str | None = None) -> None:
     """Append connection features, one folder per day and load.
 
@@ -30,25 +36,43 @@ def append_anomalies(anomalies: DataFrame, path: str, load_id: str | None = None
     _write_load(anomalies.hint("rebalance", "day"), path, load_id, ["day"])
 
 
-def compact_day(spark: SparkSession, path: str, day: str, staging: str) -> None:
+def compact_day(spark: SparkSession, path: str, day: str, keep_replaced: bool = False) -> str:
     """Rewrite a closed day of a feature or anomaly table as one load of few large files.
 
-    The rows go to ``staging`` first. Then one job replaces the day's folder, and the
-    staged copy is removed. A reader during that job sees the day incomplete; if the job
-    fails, run ``restore_day`` on the staged copy.
+    Three steps, and a reader gets the whole day, once, before, between and after them:
+    the rows are written beside the day's loads, as a load that readers skip; one row of
+    the table's list of compactions, which appears with the commit of its file, makes that
+    load count instead of those it replaces; then those are removed. ``keep_replaced``
+    leaves them to ``remove_replaced``, for readers that listed the files before and still
+    read them. A run that fails before the second step changes nothing and can be repeated.
+    Compact a day by one job at a time, and closed days only. Returns the new load's id.
     """
-    day_path = f"{path.rstrip('/')}/day={day}"
-    spark.read.option("basePath", day_path).parquet(day_path).drop("load_id").hint(
-        "rebalance").write.parquet(staging)
-    restore_day(spark, path, day, staging)
-
-
-def restore_day(spark: SparkSession, path: str, day: str, staging: str) -> None:
-    """Replace a day by its staged rows and remove the staged copy."""
-    rows = spark.read.parquet(staging).withColumn("load_id", F.lit(f"compacted-{uuid.uuid4().hex}"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "load_id").parquet(f"{path.rstrip('/')}/day={day}")
-    remove(spark, staging)
+    path = path.rstrip("/")
+    load_id = f"{COMPACTED}{uuid.uuid4().hex}"
+    day_rows = spark.read.option("basePath", path).parquet(f"{path}/day={day}")
+    rows = current_loads(day_rows, path)
+    replaced = [r["load_id"] for r in rows.select("load_id").distinct().collect()]
+    rows.drop("day", "load_id").hint("rebalance").write.parquet(
+        f"{path}/day={day}/load_id={load_id}")
+    _commit_compaction(spark, path, day, load_id, replaced)
+    if not keep_replaced:
+        remove_replaced(spark, path, day)
+    return load_id
+
+
+def _commit_compaction(spark: SparkSession, path: str, day: str, load_id: str,
+                       replaced: list[str]) -> None:
+    row = spark.createDataFrame([(day, load_id, replaced)], COMPACTIONS)
+    row.coalesce(1).write.mode("append").parquet(f"{path}/{COMPACTION_LIST}")
+
+
+def remove_replaced(spark: SparkSession, path: str, day: str) -> None:
+    """Delete the loads of a day that a compaction has replaced; readers skip them already."""
+    path = path.rstrip("/")
+    listed = spark.read.schema(COMPACTIONS).parquet(f"{path}/{COMPACTION_LIST}")
+    old = listed.where(F.col("day") == day).select(F.explode("replaces").alias("load_id"))
+    for row in old.distinct().collect():
+        remove(spark, f"{path}/day={day}/load_id={row['load_id']}")
 
 
 def write_table(table: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:

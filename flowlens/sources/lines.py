@@ -68,13 +68,22 @@ def unreadable() -> Column:
     return reason
 
 
+def once(value: Column) -> Column:
+    """A column that Spark computes once a row, however often it is used afterwards.
+
+    A filter on fields of a parsed line would otherwise be moved below the parsing, with
+    a parse of its own for every field. No filter is moved below a generator's output.
+    """
+    return F.explode(F.array(value))
+
+
 def parsed(lines: DataFrame) -> DataFrame:
     options = {"columnNameOfCorruptRecord": BROKEN}
-    return lines.select("value", F.from_json("value", TEXT_SCHEMA, options).alias("event"))
+    return lines.select("value", once(F.from_json("value", TEXT_SCHEMA, options)).alias("event"))
 
 
 def parse_events(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Lines to columns; absent fields are null.
+    """Lines to columns; absent fields are null. Each line is parsed once.
 
     Numbers may stand as text or with a zero fraction. A line that is no JSON, or with a
     number that cannot be read, is no event; ``rejected_lines`` gives those. The substring

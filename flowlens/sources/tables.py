@@ -8,6 +8,7 @@ from flowlens.operators.connections import fill_counters
 from flowlens.schemas import (
     ANOMALY_COLUMNS, ANOMALY_SCHEMA, FEATURE_SCHEMA, FEATURES, KEYS, LABELLED_SCHEMA,
 )
+from flowlens.sources.loads import current_loads
 
 
 def between_days(table: DataFrame, first_day: str | None, last_day: str | None,
@@ -31,7 +32,9 @@ def select_days(table: DataFrame, first_day: str | None = None,
 
 def read_features(spark: SparkSession, path: str, first_day: str | None = None,
                   last_day: str | None = None) -> DataFrame:
-    return select_days(spark.read.schema(FEATURE_SCHEMA).parquet(path), first_day, last_day)
+    """Keys and counters of a table by day and load, each compacted day once."""
+    table = spark.read.schema(FEATURE_SCHEMA).parquet(path)
+    return select_days(current_loads(table, path), first_day, last_day)
 
 
 def read_training_set(spark: SparkSession, path: str) -> DataFrame:
@@ -40,8 +43,8 @@ def read_training_set(spark: SparkSession, path: str) -> DataFrame:
 
 def read_anomalies(spark: SparkSession, path: str, first_day: str | None = None,
                    last_day: str | None = None) -> DataFrame:
-    table = spark.read.schema(ANOMALY_SCHEMA).parquet(path).select(*ANOMALY_COLUMNS)
-    return between_days(table, first_day, last_day, "string")
+    table = current_loads(spark.read.schema(ANOMALY_SCHEMA).parquet(path), path)
+    return between_days(table.select(*ANOMALY_COLUMNS), first_day, last_day, "string")
 
 
 BROKEN = "_broken"

@@ -8,26 +8,42 @@ from pyspark.sql.streaming import StreamingQuery
 from flowlens.operators.connections import connection_features
 from flowlens.operators.detector import Detector
 from flowlens.plans.history import store_anomalies
+from flowlens.sinks.documents import Send
 from flowlens.sources.lines import netflow_events
 from flowlens.streaming.batches import start_batches
+from flowlens.streaming.ledger import BatchLedger
 from flowlens.streaming.windowed import start_windows, windowed_features
 
-Send = Callable[[list[str]], None]
 
+def batch_scorer(spark: SparkSession, detector: Detector | str, refresh_each_batch: bool,
+                 anomalies_path: str, checkpoint: str,
+                 send: Send | None) -> Callable[[DataFrame, str], None]:
+    """Score the features of a batch and store its anomalies.
 
-def detector_source(spark: SparkSession, detector: Detector | str,
-                    refresh_each_batch: bool) -> Callable[[], Detector]:
-    """The detector of a batch: loaded once or, from a path, before each batch.
-
-    A stored detector is one commit, so a scaler never meets another model's centres even
-    if a new version is saved meanwhile.
+    The detector is loaded once or, from a path, for each batch. A stored detector is one
+    commit, so a scaler never meets another model's centres even if a new version is saved
+    meanwhile. The version that a batch met is entered in the stream's ledger before it is
+    scored, and so are the documents that were sent: a batch that is replayed meets the
+    same version, stores the same rows, and sends only what is missing, whatever was
+    trained in between.
     """
     if refresh_each_batch and not isinstance(detector, str):
         raise ValueError("refresh_each_batch needs the detector's path")
-    if refresh_each_batch:
-        return lambda: Detector.load(spark, detector)
-    loaded = Detector.load(spark, detector) if isinstance(detector, str) else detector
-    return lambda: loaded
+    ledger = BatchLedger(spark, checkpoint)
+    loaded = detector
+    if isinstance(detector, str) and not refresh_each_batch:
+        loaded = Detector.load(spark, detector)
+
+    def score(features: DataFrame, load_id: str) -> None:
+        ledger.forget_before(load_id)
+        current = loaded
+        if refresh_each_batch:
+            version = ledger.version_of(load_id, lambda: Detector.newest(spark, detector))
+            current = Detector.load(spark, detector, version)
+        store_anomalies(current.anomalies(features), anomalies_path, load_id, send,
+                        ledger.documents)
+
+    return score
 
 
 def score_stream(lines: DataFrame, detector: Detector | str, anomalies_path: str,
@@ -35,11 +51,11 @@ def score_stream(lines: DataFrame, detector: Detector | str, anomalies_path: str
                  refresh_each_batch: bool = False, strict: bool = False,
                  **options) -> StreamingQuery:
     """Score every micro-batch as one interval, labelled by ``segment``."""
-    current = detector_source(lines.sparkSession, detector, refresh_each_batch)
+    score = batch_scorer(lines.sparkSession, detector, refresh_each_batch, anomalies_path,
+                         checkpoint, send)
 
     def handle(events: DataFrame, load_id: str) -> None:
-        features = connection_features(events, segment=segment())
-        store_anomalies(current().anomalies(features), anomalies_path, load_id, send)
+        score(connection_features(events, segment=segment()), load_id)
 
     return start_batches(netflow_events(lines, strict), handle, checkpoint, **options)
 
@@ -52,10 +68,7 @@ def score_windows(events: DataFrame, detector: Detector | str, anomalies_path: s
 
     One row per address pair and window, however the input was cut into micro-batches.
     """
-    current = detector_source(events.sparkSession, detector, refresh_each_batch)
-
-    def handle(features: DataFrame, load_id: str) -> None:
-        store_anomalies(current().anomalies(features), anomalies_path, load_id, send)
-
-    return start_windows(windowed_features(events, bucket_seconds, delay), handle, checkpoint,
+    score = batch_scorer(events.sparkSession, detector, refresh_each_batch, anomalies_path,
+                         checkpoint, send)
+    return start_windows(windowed_features(events, bucket_seconds, delay), score, checkpoint,
                          state_partitions, **options)

@@ -29,8 +29,7 @@ def test_jobs(spark, sf_dir, tmp_path):
     days = ["--first-day", "2024-01-01", "--last-day", "2024-01-31"]
     before = sorted(hours.collect())
     for name in ("s1", "s2"):
-        main(["compact", "--table", windows, "--day", "2024-01-10", "--staging",
-              str(tmp_path / name)])
+        main(["compact", "--table", windows, "--day", "2024-01-10"])
     assert len(list((tmp_path / "windows" / "day=2024-01-10").glob("load_id=*"))) == 1
     hours = read_features(spark, windows)
     assert sorted(hours.collect()) == before

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from flowlens.catalog.facts import elbow_facts, fit_facts, rank_facts
 from flowlens.operators.boundaries import cluster_boundaries
+from flowlens.functions.nearest import closest
 from flowlens.operators.clustering import (
     assign, centers_from_table, centers_table, clustering_cost, elbow_curve, first_centers,
-    fit_clusters, load_ml_centers, refine_centers,
+    fit_clusters, load_ml_centers, pinned_sweep, refine_centers,
 )
 from flowlens.operators.scaling import Scaler, fit_scaler, standardize
+from flowlens.operators.sweep import parallel_starts, scan, shared_sweep
 from flowlens.schemas import FEATURES, KEYS
 
 
@@ -224,6 +226,84 @@ def test_a_wrong_boundary_is_seen(spark):
 
 def test_elbow_facts(spark):
     table = vectors(spark, [[0, 0], [0, 4], [3, 0]])
-    points = spark.createDataFrame([(2, 5.0), (3, 17.0)], "k int, cost double")
-    assert [r.below_one for r in elbow_facts(points, table, "normalizedFeatures")
-            .orderBy("k").collect()] == [True, False]
+    clusters = spark.createDataFrame(
+        [(2, 0, 2, 4.5, [1.5, 0.0]), (2, 1, 1, 0.0, [0.0, 4.0]), (3, 0, 3, 0.0, [90.0, 0.0])],
+        "k int, prediction int, n_rows bigint, cost double, center array<double>")
+    rows = elbow_facts(clusters, table, "normalizedFeatures").orderBy("k").collect()
+    assert [tuple(r) for r in rows] == [(2, 3, True, True), (3, 3, False, False)]
+
+
+def random_points(n=700, width=5, seed=3):
+    random = np.random.default_rng(seed)
+    spots = random.normal(0, 50, (9, width))
+    return np.round(spots[random.integers(0, 9, n)] + random.normal(0, 2, (n, width)), 2)
+
+
+def keyed(table):
+    """With a key in the order of the vectors' hashes, so that first rows are defined."""
+    return table.withColumn("src_ip", F.hex(F.xxhash64("normalizedFeatures")))
+
+
+def test_closest_equals_brute_force():
+    """Also where the matrix product cannot tell: ties, equal centres, huge and tiny numbers."""
+    random = np.random.default_rng(0)
+    for scale in (1.0, 1e-9, 1e9):
+        points = np.round(random.normal(0, 3, (400, 4))) * scale
+        centers = np.round(random.normal(0, 3, (30, 4))) * scale
+        centers[7] = centers[3]
+        points[5] = (centers[1] + centers[2]) / 2
+        label, squared = closest(points + 1e6 * scale, centers + 1e6 * scale)
+        moved = points + 1e6 * scale, centers + 1e6 * scale
+        exact = np.stack([np.einsum("ij,ij->i", moved[0] - c, moved[0] - c) for c in moved[1]], 1)
+        assert (label == exact.argmin(axis=1)).all() and (squared == exact.min(axis=1)).all()
+
+
+def test_shared_scan_equals_one_by_one(spark):
+    """The shared scan against assign-and-average of each count on its own."""
+    table = keyed(vectors(spark, random_points().tolist())).repartition(5)
+    ks, steps = [2, 3, 7, 12], 4
+    sweep = pinned_sweep(table, ks, steps)
+    assert sweep.scans == steps + 1
+    start = first_centers(table, max(ks))
+    for k in ks:
+        centers = refine_centers(table, start[:k], steps)
+        assert np.allclose(sweep.centers[k], centers, atol=1e-9)
+        rows = assign(table, centers).groupBy("prediction").agg(
+            F.count("distance").alias("n"), F.sum(F.col("distance") ** 2).alias("cost")).collect()
+        assert {r.prediction: r.n for r in rows} == {
+            i: n for i, n in enumerate(sweep.moments[k].n.tolist()) if n}
+        assert sum(r.cost for r in rows) == pytest.approx(sweep.moments[k].cost.sum(), abs=1e-6)
+
+
+def test_sweep_finds_what_single_fits_find(spark):
+    """Nine spots: both fall steeply up to nine, and cost about the same there."""
+    table = vectors(spark, random_points().tolist()).repartition(3)
+    shared = {r.k: r.cost for r in elbow_curve(table, range(2, 13), "normalizedFeatures").collect()}
+    each = {r.k: r.cost for r in elbow_curve(table, [2, 9, 12], "normalizedFeatures",
+                                             method="each").collect()}
+    assert shared[12] <= shared[9] < shared[5] / 3 < shared[2] / 3
+    assert shared[9] <= each[9] * 1.3 and shared[12] <= each[12] * 1.3
+    with pytest.raises(ValueError):
+        elbow_curve(table, [2], method="some")
+
+
+def test_sweep_stops_counts_that_rest_and_never_costs_more(spark):
+    table = keyed(vectors(spark, random_points(200).tolist()))
+    start = {k: np.array(first_centers(table, 12)[:k]) for k in (3, 12)}
+    before = scan(table, start, "normalizedFeatures")
+    sweep = shared_sweep(table, start, 50, "normalizedFeatures")
+    assert sweep.scans < 51
+    for k in start:
+        assert sweep.moments[k].cost.sum() <= before[k].cost.sum()
+        again = shared_sweep(table, {k: sweep.centers[k]}, 1, "normalizedFeatures", None)
+        assert np.allclose(again.centers[k], sweep.centers[k], atol=1e-4)
+
+
+def test_sweep_of_few_or_odd_rows(spark):
+    table = vectors(spark, [[1, 1], [1, 1], [5, 5], [float("nan"), 2]])
+    points = elbow_curve(table, [2, 6], "normalizedFeatures").orderBy("k").collect()
+    assert [(p.k, p.cost) for p in points] == [(2, 0.0), (6, 0.0)]
+    starts = parallel_starts(table, [6], "normalizedFeatures")
+    assert sorted(map(tuple, starts[6])) == [(1, 1), (5, 5)]
+    with pytest.raises(ValueError):
+        elbow_curve(table.limit(0), [2], "normalizedFeatures")

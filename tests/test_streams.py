@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from flowlens.schemas import FEATURES, KEYS, RAW_SCHEMA
 from flowlens.sources.lines import file_lines, netflow_events
 from flowlens.sources.tables import read_anomalies, read_features
 from flowlens.streaming.capture import capture_features, capture_rejected
-from flowlens.streaming.scoring import score_stream
+from flowlens.streaming.scoring import score_stream, score_windows
 from flowlens.streaming.batches import settings
 from flowlens.streaming.windowed import capture_windows, open_windows, untimed
 from test_detector import PLAIN
@@ -129,6 +131,48 @@ def test_score_stream_and_model_refresh(spark, tmp_path):
     assert read_anomalies(spark, table).count() == 1
 
 
+@pytest.mark.parametrize("windows", [False, True])
+def test_a_replayed_batch_meets_its_own_detector(spark, tmp_path, windows):
+    """The sender fails, a new detector is saved, the batch runs again: the old one scores it."""
+    source = tmp_path / "lines"
+    model, table, checkpoint, sent, flag = paths(
+        tmp_path, "model", "table", "checkpoint", "sent", "flag")
+    zero = [[0.0] * 20]
+
+    def send(batch):
+        with open(sent, "a") as out:
+            out.writelines(t + "\n" for t in batch)
+        if not os.path.exists(flag):
+            open(flag, "w").close()
+            raise ConnectionError("stopped")
+
+    def start():
+        lines = file_lines(spark, str(source), stream=True)
+        common = {"send": send, "refresh_each_batch": True, "available_now": True}
+        if windows:
+            return score_windows(netflow_events(lines), model, table, checkpoint,
+                                 delay="1 minute", **common)
+        return score_stream(lines, model, table, checkpoint, lambda: "10:00:00", **common)
+
+    Detector(PLAIN, zero, {0: 4.5}).save(spark, model)
+    put(source, "1.txt", *[line(port=i) for i in range(5)], line("quiet"))
+    if windows:
+        put(source, "2.txt", line("end", "2024-03-04 12:00:00"))
+    with pytest.raises(Exception, match="stopped"):
+        start().awaitTermination(120)
+    Detector(PLAIN, zero, {0: 0.5}).save(spark, model, "overwrite")
+    run(start)
+    assert [r.src_ip for r in read_anomalies(spark, table).collect()] == ["a"]
+    put(source, "3.txt", line("c", "2024-03-04 12:30:00"))
+    run(start)
+    put(source, "4.txt", line("end2", "2024-03-04 15:00:00"))
+    run(start)
+    found = [r.src_ip for r in read_anomalies(spark, table).collect()]
+    assert "c" in found and "quiet" not in found
+    kept = [p.name for p in (tmp_path / "checkpoint/flowlens/versions").glob("load_id=*")]
+    assert len(kept) <= 2
+
+
 def test_refresh_needs_a_path(spark, tmp_path):
     with pytest.raises(ValueError):
         score_stream(spark.readStream.text(str(tmp_path)), Detector(PLAIN, [[0.0] * 20], {}),
