@@ -290,6 +290,8 @@ class Scorer:
         """
         found = [np.zeros(len(self.model.languages)) for _ in texts]
         step = 1 + 65_536 // max(1, len(self.model.languages))
+        if not self.model.languages:
+            return found
         pieces = [(i, words[at:at + self.most // 2]) for i, words in enumerate(texts)
                   for at in range(0, len(words), self.most // 2)]
         waiting, known = [], set()

@@ -3,7 +3,8 @@
 from flowlens.llm.url_fixture import DUCKDB, captures_sql, feed_sql
 
 HOST = ("regexp_replace(regexp_extract(lower(url),"
-        " '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '[.]+$', '')")
+        r" '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)', 1), '[.]+$', '')")
+ADDRESS = r"regexp_matches(host, '^(?:[0-9]{1,3}(?:[.][0-9]{1,3}){3}|\[.*)$')"
 PATH = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 
 URL_FILTERS = f"""
@@ -24,8 +25,8 @@ intervals as (
   where action = 'add'),
 keys as (
   select url, unnest(list_distinct(list_concat(
-    list_transform(range(1, len(string_split(host, '.')) + 1),
-      lambda i: array_to_string(list_slice(string_split(host, '.'), i, -1), '.')),
+    case when {ADDRESS} then [host] else list_transform(range(1, len(string_split(host, '.')) + 1),
+      lambda i: array_to_string(list_slice(string_split(host, '.'), i, -1), '.')) end,
     list_transform(range(1, len(segs) + 1),
       lambda i: host || '/' || array_to_string(list_slice(segs, 1, i), '/'))))) as pattern
   from parts where host <> ''),

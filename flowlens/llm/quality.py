@@ -36,6 +36,11 @@ class Bands:
     bad_chunks: float = 0.2
     level: int = 3
 
+    def limits(self, size: int) -> tuple[float, float] | None:
+        """Lower and upper limit for a text of so many bytes; none under the first entry."""
+        reached = [(low, high) for least, low, high in self.whole if size >= least]
+        return reached[-1] if reached else None
+
 
 @dataclass
 class Verdict:
@@ -86,21 +91,22 @@ def judge(text: bytes | None, bands: Bands, compressor: zstandard.ZstdCompressor
     v.n_repeat_words = repeated_words(words)
     v.base_failed = v.n_words < 50 or 100 * v.n_repeat_words > 50 * v.n_words
 
-    limits = [(low, high) for least, low, high in bands.whole if len(text) >= least]
     if text:
         v.ratio = len(compressor.compress(text)) / len(text)
-    if limits:
-        low, high = limits[-1]
-        if v.ratio < low:
+    if limits := bands.limits(len(text)):
+        if v.ratio < limits[0]:
             v.reasons.append("repetitive")
-        if v.ratio > high:
+        if v.ratio > limits[1]:
             v.reasons.append("incompressible")
     size = bands.chunk_bytes
-    for at in range(0, len(text) - size + 1, size):
-        ratio = len(compressor.compress(text[at:at + size])) / size
-        v.n_chunks += 1
-        v.low_chunks += ratio < bands.chunks[0]
-        v.high_chunks += ratio > bands.chunks[1]
+    for at in range(0, len(text) if len(text) >= size else 0, size):
+        chunk = text[at:at + size]
+        limits = bands.chunks if len(chunk) == size else bands.limits(len(chunk))
+        if limits:
+            ratio = len(compressor.compress(chunk)) / len(chunk)
+            v.n_chunks += 1
+            v.low_chunks += ratio < limits[0]
+            v.high_chunks += ratio > limits[1]
     if v.low_chunks > bands.bad_chunks * v.n_chunks:
         v.reasons.append("repetitive chunks")
     if v.high_chunks > bands.bad_chunks * v.n_chunks:

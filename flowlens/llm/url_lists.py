@@ -9,10 +9,20 @@ from flowlens.llm.texts import unused
 BUCKET = 30 * 86_400
 
 
+#: Distinct listed patterns that are broadcast to pick the captures' keys; a longer list is
+#: joined by a shuffle.
+LISTED_PATTERNS = 500_000
+
+ADDRESS = r"^(?:[0-9]{1,3}(?:[.][0-9]{1,3}){3}|\[.*)$"
+
+
 def host_of(url: Column) -> Column:
-    """Lower-case host without user, port and final dot; empty if there is none."""
+    """Lower-case host without user, port and final dot; empty if there is none.
+
+    An IPv6 host keeps its brackets.
+    """
     host = F.regexp_extract(
-        F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+        F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)", 1)
     return F.regexp_replace(host, r"[.]+$", "")
 
 
@@ -20,19 +30,24 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
-def keys_of(url: Column) -> Column:
+def keys_of(url: Column, deepest: int | None = None) -> Column:
     """Every list pattern that covers a URL.
 
     Patterns are domains, which cover their subdomains, and a host with leading path
-    segments, which covers what lies below. A URL without host has no keys.
+    segments, which covers what lies below. An address is one domain of its own. A URL
+    without host has no keys. Each key repeats the segments before it; ``deepest``, the
+    most segments that any listed pattern has, leaves out the keys that no list can hold,
+    so that a URL of very many segments makes no quadratic text.
     """
     host = host_of(url)
     labels = F.split(host, "[.]")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."))
+    domains = F.when(F.rlike(host, F.lit(ADDRESS)), F.array(host)).otherwise(
+        F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
+            F.slice(labels, i, F.size(labels)), ".")))
     segments = F.filter(F.split(path_of(url), "/"), lambda s: s != "")
+    most = F.size(segments) if deepest is None else F.least(F.size(segments), F.lit(deepest))
     paths = F.transform(
-        F.filter(F.sequence(F.lit(0), F.size(segments)), lambda i: i > 0),
+        F.filter(F.sequence(F.lit(0), most), lambda i: i > 0),
         lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, 1, i), "/")))
     keys = F.array_distinct(F.concat(domains, paths))
     return F.when(F.coalesce(host, F.lit("")) == "", F.array().cast("array<string>")).otherwise(keys)
@@ -72,12 +87,21 @@ def active_lists(captures: DataFrame, feed: DataFrame, bucket: int = BUCKET) ->
     intervals meet on (pattern, time bucket), so a host with very many captures, or an
     entry with a long history, is spread over time; adaptive execution splits what is
     still skewed. An interval takes part once per bucket up to the last capture.
+
+    A capture asks for the keys that some list holds. If the patterns of the feed are few
+    enough to broadcast, which is counted first, all other keys end in the task that makes
+    them; of a longer feed Spark's own runtime filter may drop some.
     """
     place = F.floor(F.col("fetched_at") / bucket)
+    listed = feed.where("pattern is not null").select("pattern").distinct()
+    size = listed.agg(F.count(F.lit(1)).alias("n"), F.max(
+        F.size(F.split("pattern", "/")) - 1).alias("deepest")).first()
+    few = size["n"] <= LISTED_PATTERNS
     asked = (captures.where("url is not null and fetched_at is not null")
              .select("url", "fetched_at").distinct()
              .select("url", "fetched_at", place.alias("bucket"),
-                     F.explode(keys_of(F.col("url"))).alias("pattern")))
+                     F.explode(keys_of(F.col("url"), size["deepest"] or 0)).alias("pattern"))
+             .join(F.broadcast(listed) if few else listed, "pattern", "left_semi"))
     first, last = captures.agg(F.min("fetched_at"), F.max("fetched_at")).first()
     low = F.floor(F.greatest("valid_from", F.lit(first)) / bucket)
     high = F.floor(F.least(F.coalesce("valid_to", F.lit(last)), F.lit(last)) / bucket)

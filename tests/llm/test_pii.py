@@ -77,34 +77,81 @@ def brute_ssn(text):
     return f"{a + 1 + (a >= 665):03}-{g + 1:02}-{s + 1:04}"
 
 
-def brute_email(text):
-    name, domain = text.split("@")
-    half = len(name) // 2
+LETTERS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
+
+
+def brute_characters(kind, text, classes=LETTERS):
+    half = len(text) // 2
 
     def shift(part, other, i):
         out = ""
         for at, c in enumerate(part):
-            by = keyed("email", i, f"{at}|{other}")
-            for first, size in (("a", 26), ("A", 26), ("0", 10)):
-                if ord(first) <= ord(c) < ord(first) + size:
-                    c = chr(ord(first) + (ord(c) - ord(first) + by) % size)
-                    break
-            out += c
+            by = keyed(kind, i, f"{at}|{other}")
+            own = next((x for x in classes if c in x), None)
+            out += own[(own.index(c) + by) % len(own)] if own else c
         return out
 
-    left, right = name[:half], name[half:]
+    left, right = text[:half], text[half:]
     for i in range(1, ROUNDS + 1):
         if i % 2:
             left = shift(left, right, i)
         else:
             right = shift(right, left, i)
-    return f"{left}{right}@{domain}"
+    return left + right
+
+
+def brute_email(text):
+    name, domain = text.split("@")
+    return f"{brute_characters('email', name)}@{domain}"
+
+
+def brute_secret(text):
+    m = re.match(r"""(?xi) (?:api[_-]?key | apikey | access[_-]?key | secret[_-]?key | client[_-]?secret
+        | auth[_-]?token | token | secret | password | passwd | pwd) [ \t]*[:=][ \t]*["']?
+        | (?-i: (?:sk|pk|rk)_(?:live|test)_ | gh[pousr]_ | github_pat_ | glpat- | xox[abpr]- | npm_
+        | pypi- | AKIA | ASIA | AIza | hf_ )""", text)
+    start, rest = m[0], text[m.end():]
+    for own in ("0123456789abcdef", "0123456789ABCDEF"):
+        if set(rest) <= set(own + ":"):
+            return start + brute_characters("secret", rest, (own,))
+    return start + brute_characters("secret", rest)
+
+
+def brute_ipv6(text):
+    if text.upper() == text and text.lower() != text:
+        return brute_characters("ipv6", text, ("0123456789ABCDEF",))
+    return brute_characters("ipv6", text.lower(), ("0123456789abcdef",))
 
 
-MOVES = {"email": brute_email, "iso_date": lambda t: brute_date(t, "%Y-%m-%d"),
+def number_of(text):
+    return int("".join(str(int(c, 36)) for c in text))
+
+
+def brute_iban(text):
+    plain = text.replace(" ", "")
+    if number_of(plain[4:] + plain[:4]) % 97 != 1:
+        return text
+    new = brute_characters("iban", plain[4:])
+    moved = iter(plain[:2] + f"{98 - number_of(new + plain[:2] + '00') % 97:02}" + new)
+    return re.sub("[^ ]", lambda _: next(moved), text)
+
+
+def brute_abroad(text):
+    d = re.sub("[^0-9]", "", text)
+    if not 8 <= len(d) <= 15:
+        return text
+    m = re.match(r"\+([0-9]{1,3})[^0-9]", text)
+    lead = len(m[1]) if m else 2
+    free = len(d) - lead
+    new = feistel("abroad", int(d[lead:]), 10 ** (free // 2), 10 ** (free - free // 2))
+    return refill(text, d[:lead] + str(new).zfill(free))
+
+
+MOVES = {"email": brute_email, "secret": brute_secret, "iban": brute_iban, "ipv6": brute_ipv6,
+         "iso_date": lambda t: brute_date(t, "%Y-%m-%d"),
          "dot_date": lambda t: brute_date(t, "%d.%m.%Y"),
          "slash_date": lambda t: brute_date(t, "%m/%d/%Y"), "ssn": brute_ssn,
-         "phone": brute_phone, "ip": brute_ip, "card": brute_card}
+         "phone": brute_phone, "abroad": brute_abroad, "ip": brute_ip, "card": brute_card}
 
 
 def brute(text):
@@ -135,6 +182,7 @@ TEXTS = [
     "1985-02-28 1985-02-30 1899-01-01 2099-12-31 12.11.1990 31.04.2000 02/29/2000 02/29/2001",
     "078-05-1120 000-12-1234 665-01-0001 667-99-9999 899-99-9999 900-11-1111",
     "tel:743-555-3824x v1.2.3.4b id4122859641637651", "", " ", "é227.5.221.1é",
+    "FR76 3000 6000 0112 3456 7890 189 or +49 30 901820 +4930901820x fe80:1::2:3 token='a1b2c3d4'",
 ]
 
 
@@ -144,7 +192,40 @@ def test_equals_brute_force(spark):
     for r in rows:
         assert r.new == brute(r.text)
     changed = [r for r in rows if r.text != r.new]
-    assert len(changed) == 8
+    assert len(changed) == 9
+
+
+SECRETS = ["sk_" + "live_4eC39HqLyjWDarjtT1zdp7dc", "AKIA" + "IOSFODNN7EXAMPLE", "ghp_" + "a1B2" * 9]
+
+
+def test_ibans_secrets_and_numbers_from_abroad(spark):
+    """What must change and what must stay, written by hand."""
+    moved = {
+        "DE89370400440532013000": brute_iban, "DE89 3704 0044 0532 0130 00": brute_iban,
+        "GB29 NWBK 6016 1331 9268 19": brute_iban, "NO9386011117947": brute_iban,
+        "MT84MALT011000012345MTLCAST001S": brute_iban, "2001:db8::1": brute_ipv6,
+        "2001:0db8:85a3:0000:0000:8a2e:0370:7334": brute_ipv6, "2001:DB8:0::A": brute_ipv6,
+        "+49 170 1234567": brute_abroad, "+442079460958": brute_abroad,
+        "+33 1 42 68 53 00": None, "+358-40-1234567": brute_abroad, "+34 (91) 123 45 67": brute_abroad,
+        'token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda': brute_secret,
+        'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B': brute_secret,
+        "password: hunter2-X9": brute_secret, "api_key=abcDEF123456": brute_secret,
+        **dict.fromkeys(SECRETS, brute_secret)}
+    still = ["DE88370400440532013000", "XX89370400440532013000", "DE8937040044053201300",
+             "password: something", "token = x1", "the token of 12345678", "sk_live_short", "12:34:56:78",
+             "std::dec", "a:b:c", "1:2:3:4:5:6:7", "+49", "+1234", "ABCD1234567890123456"]
+    rows = [(f"so {t}, ({t}) and\n{t}.", f"so {f(t)}, ({f(t)}) and\n{f(t)}.") for t, f in moved.items() if f]
+    rows += [(f"so {t}, ({t}) and\n{t};", f"so {t}, ({t}) and\n{t};") for t in still]
+    rows += [("DE89 3704 0044 0532 0130 00 ABCD", brute_iban("DE89 3704 0044 0532 0130 00") + " ABCD")]
+    table = spark.createDataFrame(rows, "text string, wanted string")
+    found = table.select("text", "wanted", pseudonymize(F.col("text"), KEY).alias("new")).collect()
+    assert [(r.text, r.new) for r in found if r.new != r.wanted] == []
+    for t, f in moved.items():
+        if f:
+            assert f(t) != t and len(f(t)) == len(t)
+        if f is brute_iban:
+            plain = f(t).replace(" ", "")
+            assert number_of(plain[4:] + plain[:4]) % 97 == 1
 
 
 def test_addresses_before_dots(spark):

@@ -48,6 +48,19 @@ def test_bands(make_docs):
     assert not any(rows[i].kept for i in (2, 3, 4))
 
 
+def test_the_last_chunk_counts(make_docs):
+    """Two whole chunks and a repetitive rest: one of three chunks is bad."""
+    pick = random.Random(4)
+    syllables = "ka lo mi ter an sel ou pri da en vor ist al ge tu".split()
+    prose = " ".join("".join(pick.choices(syllables, k=pick.randint(1, 4))) for _ in range(900))
+    good, rest = prose[:4096], prose[5000:6000]
+    rows = {r.doc_id: r for r in quality_rows(make_docs(
+        (1, good + rest), (2, good + "ab " * 333), (3, good + "ab " * 40), (4, prose[:2000]))).collect()}
+    assert (rows[1].n_chunks, rows[1].low_chunks, rows[1].reasons) == (3, 0, [])
+    assert (rows[2].n_chunks, rows[2].low_chunks) == (3, 1) and "repetitive chunks" in rows[2].reasons
+    assert rows[3].n_chunks == 2 and rows[4].n_chunks == 0
+
+
 def test_high_quality_labels_are_kept(spark, documents, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     good = documents.join(labels.where("quality = 1"), "doc_id")

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from flowlens.llm.substrings import LEAST, MOST, cut_points, remove_spans, repeated_spans
+from flowlens.llm.substrings import MOST, cut_points, remove_spans, repeated_spans
 
 
 def words(seed, n):
@@ -39,7 +39,7 @@ def test_cuts():
         assert ends == brute_cuts(data)
         sizes = [b - a for a, b in zip([0, *ends], ends)]
         assert ends[-1] == len(data) and max(sizes) <= MOST
-        assert all(s >= LEAST for s in sizes[:-1])
+        assert all(s >= 20 for s in sizes[:-1])
         for a, b in zip([0, *ends], ends):
             data[a:b].decode()
 
@@ -107,18 +107,56 @@ def test_runs_are_measured_whole(make_docs):
     assert missed == 0
 
 
-def test_query(spark, sf_dir, documents):
+def repeated_places(texts, length):
+    """(doc, start, end) of all longest stretches whose windows of ``length`` occur twice or
+    more, by a plain search over every position. Windows that overlap themselves do not count:
+    a word repeated on and on is a periodic run, not a passage that stands at two places."""
+    places = {}
+    for d, text in texts.items():
+        for i in range(len(text) - length + 1):
+            places.setdefault(hash(text[i:i + length]), []).append((d, i))
+    own = {}
+    for where in places.values():
+        overlap = any(a[0] == b[0] and b[1] - a[1] < length for a, b in zip(where, where[1:]))
+        if len(where) > 1 and not overlap:
+            for d, i in where:
+                own.setdefault(d, set()).add(i)
+    found = []
+    for d, starts in own.items():
+        for i in sorted(starts):
+            if found and found[-1][0] == d and found[-1][2] - length + 1 == i:
+                found[-1][2] += 1
+            else:
+                found.append([d, i, i + length])
+    return [tuple(x) for x in found]
+
+
+def test_query_against_plain_search(spark, sf_dir, documents):
+    """Recall by length of passage, and spans without any passage, on the given documents."""
     rows = entry.queries()["op1_substring_dedup"](spark, sf_dir).collect()
-    texts = {r.doc_id: r.text for r in documents.collect()}
-    assert rows
+    texts = {r.doc_id: r.text or "" for r in documents.collect()}
+    spans = {}
     for r in rows:
-        piece = texts[r.doc_id][r.start:r.end]
-        assert len(piece) >= 100
-        if r.n_docs > 1 and r.extra:
-            assert piece[:LEAST // 4] in texts[r.first_doc_id] or r.n_docs > 2
+        assert r.end - r.start >= 100 and 0 <= r.start and r.end <= len(texts[r.doc_id])
+        spans.setdefault(r.doc_id, []).append((r.start, r.end))
+    for length, least in ((311, 0.99), (150, 0.9)):
+        places = repeated_places(texts, length)
+        hits = [any(a < end and start < b for a, b in spans.get(d, ())) for d, start, end in places]
+        assert len(places) > 50 and sum(hits) / len(hits) >= least
+    # Nearly all of a long passage is covered: its ends lie up to one chunk inside.
+    covered = [sum(max(0, min(b, end) - max(a, start)) for a, b in spans.get(d, ())) / (end - start)
+               for d, start, end in repeated_places(texts, 600)]
+    assert sum(c > 0.8 for c in covered) / len(covered) >= 0.99
+    # Every span holds a passage of 60 characters that stands elsewhere too.
+    short = {}
+    for d, start, end in repeated_places(texts, 60):
+        short.setdefault(d, []).append((start, end))
+    false = [r for r in rows if not any(
+        min(b, r.end) - max(a, r.start) >= 60 for a, b in short.get(r.doc_id, ()))]
+    assert len(false) <= 0.01 * len(rows)
     copies = {}
     for d in sorted(texts):
-        if len(texts[d] or "") > 400:
+        if len(texts[d]) > 400:
             copies.setdefault(texts[d], []).append(d)
     extra = {r.doc_id for r in rows if r.extra}
     assert all(set(own[1:]) <= extra for own in copies.values())

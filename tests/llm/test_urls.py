@@ -11,11 +11,11 @@ FEED = "list_name string, pattern string, action string, listed_at bigint"
 
 
 def brute_keys(url):
-    m = re.match(r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", url or "")
+    m = re.match(r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)", url or "")
     host = m[1].lower().rstrip(".") if m else ""
     if not host:
         return set()
-    labels = host.split(".")
+    labels = [host] if host[0] == "[" or re.fullmatch(r"\d{1,3}(\.\d{1,3}){3}", host) else host.split(".")
     path = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", url)[1]
     parts = [p for p in path.split("/") if p]
     return {".".join(labels[i:]) for i in range(len(labels))} | {
@@ -41,7 +41,9 @@ def brute(captures, feed):
 
 
 URLS = ["http://a.b.example.com/x/y/z?q=1", "https://user@EXAMPLE.com:8080/x//y/", "ftp://b.example.com.",
-        "http://example.com#f", "no url", "", None, "http:///path", "http://x.org/" + "s/" * 200]
+        "http://example.com#f", "no url", "", None, "http:///path", "http://x.org/" + "s/" * 200,
+        "http://[2001:db8::1]:80/x", "http://[2001:db8::2]/x", "http://192.0.2.1:8080/x/y", "http://192.0.2.1.",
+        "http://[", "http://1.2.3.4.example.com/"]
 
 
 def test_keys(spark):
@@ -53,7 +55,8 @@ def test_keys(spark):
 @pytest.mark.parametrize("bucket", [7, 1000])
 def test_equals_brute_force(spark, bucket):
     pick = random.Random(2)
-    patterns = ["example.com", "b.example.com", "example.com/x", "a.b.example.com/x/y", "com", "x.org"]
+    patterns = ["example.com", "b.example.com", "example.com/x", "a.b.example.com/x/y", "com", "x.org",
+                "[2001:db8::1]", "192.0.2.1", "2.1", "1", "192.0.2.1/x", "[2001:db8::2]/x"]
     feed = [(pick.choice(["spam", "adult", "allow"]), pick.choice(patterns),
              pick.choice(["add", "add", "remove"]), pick.randint(0, 60)) for _ in range(120)]
     feed += [("spam", "x.org", "add", t) for t in range(60)]
@@ -66,6 +69,25 @@ def test_equals_brute_force(spark, bucket):
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute(captures, feed)))
 
 
+def test_deep_urls_make_only_keys_that_can_be_listed(spark):
+    url = "http://x.org/" + "seg/" * 20_000
+    table = spark.createDataFrame([(1, url, 5)], CAPTURES)
+    keys = table.select(keys_of(F.col("url"), 2)).first()[0]
+    assert keys == ["x.org", "org", "x.org/seg", "x.org/seg/seg"]
+    feed = spark.createDataFrame([("l", "x.org/seg/seg/seg", "add", 1), ("l", "y", "add", 1)], FEED)
+    assert filter_urls(table, feed).first().n_entries == 1
+
+
+def test_long_lists_are_not_broadcast(spark, monkeypatch):
+    from flowlens.llm import url_lists
+    captures = spark.createDataFrame([(i, f"http://h{i}.org/", 5) for i in range(50)], CAPTURES)
+    feed = spark.createDataFrame([("l", f"h{i}.org", "add", 1) for i in range(0, 50, 3)], FEED)
+    few = sorted(map(tuple, filter_urls(captures, feed).collect()))
+    monkeypatch.setattr(url_lists, "LISTED_PATTERNS", 5)
+    assert sorted(map(tuple, filter_urls(captures, feed).collect())) == few
+    assert sum(r[-1] for r in few) == 17
+
+
 def test_intervals(spark):
     feed = spark.createDataFrame([("l", "p", "add", 5), ("l", "p", "add", 20), ("l", "p", "remove", 31),
                                   ("l", "p", "remove", 90), ("l", "p", "add", 95)], FEED)
