@@ -74,23 +74,23 @@ def scan(table: DataFrame, centers: Centers, column: str) -> dict[int, Moments]:
                 parts = [np.ones(len(points)), squared, *points.T]
                 for i, part in enumerate(parts):
                     total[k][:, i] += np.bincount(label, part, len(own))
-        ks = np.repeat(list(total), [len(t) for t in total.values()])
-        ids = np.concatenate([np.arange(len(t)) for t in total.values()])
         sums = np.concatenate(list(total.values()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ks, pa.int32()), pa.array(ids, pa.int32()),
-             pa.array(list(sums), pa.list_(pa.float64()))], names=["k", "id", "sums"])
-
-    rows = table.select(column).mapInArrow(partial, "k int, id int, sums array<double>")
-    found = rows.groupBy("k", "id").agg(F.array(
-        *[F.sum(F.col("sums")[i]) for i in range(width + 2)]).alias("sums")).collect()
-    moments = {}
+            [pa.array(np.arange(len(sums)), pa.int32()),
+             pa.ListArray.from_arrays(np.arange(len(sums) + 1) * (width + 2), sums.ravel())],
+            names=["place", "sums"])
+
+    rows = table.select(column).mapInArrow(partial, "place int, sums array<double>")
+    found = rows.groupBy("place").agg(F.array(
+        *[F.sum(F.col("sums")[i]) for i in range(width + 2)]).alias("sums")).toArrow()
+    sums = np.zeros((sum(map(len, centers.values())), width + 2))
+    sums[found["place"].to_numpy()] = found["sums"].combine_chunks().flatten().to_numpy(
+        ).reshape(-1, width + 2)
+    moments, at = {}, 0
     for k, own in centers.items():
-        sums = np.zeros((len(own), width + 2))
-        for r in found:
-            if r["k"] == k:
-                sums[r["id"]] = r["sums"]
-        moments[k] = Moments(sums[:, 0].astype(np.int64), sums[:, 2:], sums[:, 1])
+        part = sums[at:at + len(own)]
+        moments[k] = Moments(part[:, 0].astype(np.int64), part[:, 2:], part[:, 1])
+        at += len(own)
     return moments
 
 
