@@ -374,23 +374,34 @@ def label_counts(pages: list[str]) -> tuple[Counter, Counter]:
         items, elements = items_of(page)
         if not any(e.tag in ARTICLES for e in elements):
             continue
-        names, sure = [frozenset()], [False]
+        sure = [False]
         for e in elements[1:]:
-            names.append(names[e.parent].union(e.names) if e.names else names[e.parent])
             sure.append(sure[e.parent] or any(named(t) <= LEFT_OUT for t in e.names))
-        seen.update(frozenset().union(*(e.names for e in elements)))
+        seen.update({t for e in elements for t in e.names})
+        held = [[0, 0] for _ in elements]
         for item in items:
             own = elements[item.node]
+            inside = own.in_article and not own.outside and not sure[item.node]
             if item.text is None:
                 if item.kind[4:].lstrip("/") not in ARTICLES:
-                    counts[item.kind, own.in_article and not own.outside and not sure[item.node]] += 1
+                    counts[item.kind, inside] += 1
                 continue
-            inside = own.in_article and not own.outside and not sure[item.node]
             if own.outside or not sure[item.node]:
                 counts[item.kind, inside] += item.words
             if not own.outside:
-                for token in names[item.node]:
-                    counts[f"name {token}", inside] += item.words
+                held[item.node][inside] += item.words
+        for i in range(len(elements) - 1, 0, -1):
+            for inside in (0, 1):
+                held[elements[i].parent][inside] += held[i][inside]
+        # A name inside an element of the same name has its words counted there.
+        upto: dict[str, int] = {}
+        for e, words in zip(elements, held):
+            for token in e.names:
+                if e.first >= upto.get(token, 0):
+                    upto[token] = e.last
+                    for inside in (False, True):
+                        if words[inside]:
+                            counts[f"name {token}", inside] += words[inside]
     return counts, seen
 
 
