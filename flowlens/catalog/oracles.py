@@ -374,6 +374,7 @@ ORACLES: dict[str, str] = {
     "labelled_result_roundtrip": LABELLED,
     "stream_features_available_now": with_steps([ALL_FLOWS, FLOWS], FILES),
     "stream_features_windowed": feature_query(DAY, CLOSED_DAYS),
+    "stream_windows_growing": feature_query(DAY),
     "stream_score_available_now": records(rows=FILES),
     "stream_score_windowed": records(CLOSED_DAYS),
 }

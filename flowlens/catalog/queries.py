@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.catalog.facts import elbow_facts, fit_facts, rank_facts
 from flowlens.catalog.flows import (
@@ -40,6 +41,7 @@ from flowlens.sources.tables import (
     read_anomalies, read_features, read_labelled_csv, read_training_set, rejected_labelled_rows,
 )
 from flowlens.streaming.capture import capture_features
+from flowlens.streaming.growing import capture_growing, latest_windows
 from flowlens.streaming.scoring import score_stream, score_windows
 from flowlens.streaming.windowed import capture_windows
 from flowlens.workspace import work_path
@@ -412,17 +414,17 @@ def compacted_table_roundtrip(spark, sf_dir):
     return read_features(spark, path)
 
 
-def stored_lines(spark, sf_dir, cuts: list[str] = CUTS) -> str:
-    """A folder of one file per part, in order of time."""
-    path = work_path(spark, "lines")
-    for part in line_parts(flow_lines(spark, sf_dir), cuts):
-        part.coalesce(1).write.mode("append").text(path)
-    return path
-
+def feed(spark, sf_dir, start: Callable[[DataFrame], StreamingQuery],
+         cuts: list[str] = CUTS) -> None:
+    """Write the lines part by part, in order of time, and let the stream take each.
 
-def line_stream(spark, sf_dir, cuts: list[str] = CUTS) -> DataFrame:
-    """The lines as a stream of one file per micro-batch."""
-    return file_lines(spark, stored_lines(spark, sf_dir, cuts), True, max_files_per_trigger=1)
+    A part is a folder of as many files as its tasks write, and one micro-batch that as
+    many tasks read. Every run goes on from the same checkpoint.
+    """
+    path = work_path(spark, "lines")
+    for i, part in enumerate(line_parts(flow_lines(spark, sf_dir), cuts)):
+        part.write.text(f"{path}/{i}")
+        start(file_lines(spark, f"{path}/*", True)).awaitTermination()
 
 
 def label_of_each_batch() -> Callable[[], str]:
@@ -432,34 +434,43 @@ def label_of_each_batch() -> Callable[[], str]:
 
 def stream_features_available_now(spark, sf_dir):
     """Four micro-batches, each an interval with a label of its own."""
-    table = work_path(spark, "features")
-    capture_features(line_stream(spark, sf_dir), table, work_path(spark, "checkpoint"),
-                     label_of_each_batch(), available_now=True).awaitTermination()
+    table, checkpoint = work_path(spark, "features"), work_path(spark, "checkpoint")
+    label = label_of_each_batch()
+    feed(spark, sf_dir, lambda lines: capture_features(
+        lines, table, checkpoint, label, available_now=True))
     return read_features(spark, table)
 
 
 def stream_features_windowed(spark, sf_dir, cuts: list[str] = CUTS):
     """Day windows over several micro-batches; those closed when the input ends."""
-    events = netflow_events(line_stream(spark, sf_dir, cuts))
-    table = work_path(spark, "windowed")
-    capture_windows(events, table, work_path(spark, "checkpoint"), DAY,
-                    available_now=True).awaitTermination()
+    table, checkpoint = work_path(spark, "windowed"), work_path(spark, "checkpoint")
+    feed(spark, sf_dir, lambda lines: capture_windows(
+        netflow_events(lines), table, checkpoint, DAY, available_now=True), cuts)
     return read_features(spark, table)
 
 
+def stream_windows_growing(spark, sf_dir, cuts: list[str] = CUTS):
+    """The last row of every day window, open ones too, while micro-batches correct them."""
+    table, checkpoint = work_path(spark, "growing"), work_path(spark, "checkpoint")
+    feed(spark, sf_dir, lambda lines: capture_growing(
+        netflow_events(lines), table, checkpoint, DAY, available_now=True), cuts)
+    return latest_windows(spark, table).drop("closed")
+
+
 def stream_score_available_now(spark, sf_dir):
     detector, _ = pinned_detector(spark, sf_dir)
-    table = work_path(spark, "anomalies")
-    score_stream(line_stream(spark, sf_dir), detector, table, work_path(spark, "checkpoint"),
-                 label_of_each_batch(), available_now=True).awaitTermination()
+    table, checkpoint = work_path(spark, "anomalies"), work_path(spark, "checkpoint")
+    label = label_of_each_batch()
+    feed(spark, sf_dir, lambda lines: score_stream(
+        lines, detector, table, checkpoint, label, available_now=True))
     return rounded_records(read_anomalies(spark, table))
 
 
 def stream_score_windowed(spark, sf_dir, cuts: list[str] = CUTS):
     detector, _ = pinned_detector(spark, sf_dir)
-    table = work_path(spark, "anomalies")
-    score_windows(netflow_events(line_stream(spark, sf_dir, cuts)), detector, table,
-                  work_path(spark, "checkpoint"), DAY, available_now=True).awaitTermination()
+    table, checkpoint = work_path(spark, "anomalies"), work_path(spark, "checkpoint")
+    feed(spark, sf_dir, lambda lines: score_windows(
+        netflow_events(lines), detector, table, checkpoint, DAY, available_now=True), cuts)
     return rounded_records(read_anomalies(spark, table))
 
 
@@ -610,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "labelled_result_roundtrip": labelled_result_roundtrip,
     "stream_features_available_now": stream_features_available_now,
     "stream_features_windowed": stream_features_windowed,
+    "stream_windows_growing": stream_windows_growing,
     "stream_score_available_now": stream_score_available_now,
     "stream_score_windowed": stream_score_windowed,
 }

@@ -33,7 +33,7 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 def start_batches(stream: DataFrame, handle: Callable[[DataFrame, str], None], checkpoint: str,
                   interval: str = INTERVAL, available_now: bool = False,
-                  stateful: bool = False) -> StreamingQuery:
+                  stateful: bool = False, mode: str = "append") -> StreamingQuery:
     """Call ``handle(rows, load_id)`` for each non-empty batch.
 
     ``load_id`` names the query and the batch. Spark keeps both in the checkpoint, so a
@@ -59,7 +59,7 @@ def start_batches(stream: DataFrame, handle: Callable[[DataFrame, str], None], c
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     with STARTING:
-        query = (stream.writeStream.foreachBatch(run)
+        query = (stream.writeStream.foreachBatch(run).outputMode(mode)
                  .option("checkpointLocation", checkpoint).trigger(**trigger).start())
     query_id.append(query.id)
     started.set()

@@ -25,14 +25,15 @@ def event_instant() -> Column:
                   f" + hour({time}) * 3600 + minute({time}) * 60 + second({time}))")
 
 
-def named_windows(grouped: DataFrame, start: Column, bucket_seconds: int) -> DataFrame:
-    """Keys and counters; day and label are taken from the UTC second a window starts at."""
+def named_windows(grouped: DataFrame, start: Column, bucket_seconds: int,
+                  *others: str) -> DataFrame:
+    """Keys, counters and others; day and label come from the UTC second a window starts at."""
     named = grouped.withColumn("second", start).withColumns({
         "day": F.expr(f"date_add(DATE'1970-01-01', CAST(second DIV {SECONDS_PER_DAY} AS INT))"),
         "slot": F.expr(f"CAST(second % {SECONDS_PER_DAY} DIV {bucket_seconds} AS INT)"),
     }).withColumns({"tsegm_inittime": segment_text("slot", bucket_seconds),
                     "week_day": F.date_format("day", "E")})
-    return fill_counters(named.select(*KEYS, *FEATURES))
+    return fill_counters(named.select(*KEYS, *FEATURES, *others))
 
 
 def windowed_features(events: DataFrame, bucket_seconds: int = 300,
@@ -70,14 +71,18 @@ def start_windows(features: DataFrame, handle: Callable[[DataFrame, str], None],
     to come; a local session may leave it out. State lives in RocksDB on the executors'
     disks, not in their heap, and is saved to the checkpoint.
     """
-    spark = features.sparkSession
+    with state_settings(features.sparkSession, state_partitions):
+        return start_batches(features, handle, checkpoint, stateful=True, **options)
+
+
+def state_settings(spark: SparkSession, state_partitions: int | None):
+    """Session settings for the start of a stateful stream."""
     if state_partitions is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("choose state_partitions; a checkpoint keeps it for good")
         state_partitions = spark.sparkContext.defaultParallelism
-    with settings(spark, {"spark.sql.shuffle.partitions": str(state_partitions),
-                          "spark.sql.streaming.stateStore.providerClass": STATE_STORE}):
-        return start_batches(features, handle, checkpoint, stateful=True, **options)
+    return settings(spark, {"spark.sql.shuffle.partitions": str(state_partitions),
+                            "spark.sql.streaming.stateStore.providerClass": STATE_STORE})
 
 
 def capture_windows(events: DataFrame, table_path: str, checkpoint: str,

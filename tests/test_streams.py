@@ -11,6 +11,7 @@ from flowlens.schemas import FEATURES, KEYS, RAW_SCHEMA
 from flowlens.sources.lines import file_lines, netflow_events
 from flowlens.sources.tables import read_anomalies, read_features
 from flowlens.streaming.capture import capture_features, capture_rejected
+from flowlens.streaming.growing import capture_growing, latest_windows
 from flowlens.streaming.scoring import score_stream, score_windows
 from flowlens.streaming.batches import settings
 from flowlens.streaming.windowed import capture_windows, open_windows, untimed
@@ -213,6 +214,32 @@ def test_windowed_counts_equal_batch_for_busy_pair(spark, tmp_path):
     assert rows(read_features(spark, table)) == rows(batch.where("src_ip != 'end'"))
 
 
+def test_growing_windows_are_corrected_and_closed(spark, tmp_path):
+    """Versions count up; last rows equal the batch, closed ones the closed windows."""
+    source = tmp_path / "lines"
+    grown, table, c1, c2 = paths(tmp_path, "grown", "table", "c1", "c2")
+
+    def take(*names_and_lines):
+        put(source, *names_and_lines)
+        lines = file_lines(spark, str(source), stream=True)
+        run(lambda: capture_growing(netflow_events(lines), grown, c1, delay="20 minutes",
+                                    available_now=True))
+        windowed(spark, source, table, c2)
+
+    take("1.txt", line(port=1), line(port=1), line(time="2024-03-04 10:06:00"))
+    take("2.txt", line(port=2), line("b", port=5), line(time="2024-03-04 10:12:00", port=3))
+    take("3.txt", line("end", time="2024-03-04 12:00:00"))
+    take("4.txt", line(port=9), line("end", time="2024-03-04 12:01:00", port=4))
+    whole = connection_features(netflow_events(spark.read.text(str(source)).where(
+        "value not like '%\"src_port\":9%'")))
+    assert rows(latest_windows(spark, grown).drop("closed")) == rows(whole)
+    closed = latest_windows(spark, grown, closed_only=True).drop("closed")
+    assert rows(closed) == rows(read_features(spark, table)) and closed.count() == 4
+    versions = spark.read.parquet(grown).where("src_ip = 'a' and tsegm_inittime = '10:00:00'")
+    assert sorted((r.version, r.n_events, r.n_src_port, r.closed) for r in versions.collect()) == [
+        (1, 2, 1, False), (2, 3, 2, False), (3, 3, 2, True)]
+
+
 def test_raw_schema_names_are_lower_case():
     assert RAW_SCHEMA.names == [n.lower() for n in RAW_SCHEMA.names]
 
