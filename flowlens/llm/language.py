@@ -294,16 +294,17 @@ class Scorer:
             return found
         pieces = [(i, words[at:at + self.most // 2]) for i, words in enumerate(texts)
                   for at in range(0, len(words), self.most // 2)]
-        waiting, known = [], set()
+        waiting, known, size = [], set(), 0
         for i, words in [*pieces, (None, [])]:
             own = set(words)
-            if waiting and (i is None or len(known | own) > self.most // 2):
+            size += len(own)
+            if waiting and (i is None or size > self.most // 2):
                 self.remember(known)
                 for j, some in waiting:
                     at = np.fromiter(map(self.rows.__getitem__, some), np.int64, len(some))
                     for low in range(0, len(at), step):
                         found[j] += self.table[at[low:low + step]].sum(axis=0)
-                waiting, known = [], set()
+                waiting, known, size = [], set(), len(own)
             waiting.append((i, words))
             known |= own
         return found
