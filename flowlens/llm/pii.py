@@ -28,9 +28,10 @@ KEY_START = (r"(?:(?:sk|pk|rk)_(?:live|test)_|gh[pousr]_|github_pat_|glpat-|xox[
              r"|AKIA|ASIA|AIza|hf_)")
 LABELLED = (r"(?i:api[_-]?key|apikey|access[_-]?key|secret[_-]?key|client[_-]?secret|auth[_-]?token"
             r"|token|secret|password|passwd|pwd)[ \t]{0,4}[:=][ \t]{0,4}[\"']?")
-#: A labelled secret has a digit, which tells it from a word of prose.
-SECRET = (rf"(?:{LABELLED}(?=[^0-9\s\"']{{0,127}}[0-9])(?:[A-Za-z0-9+/_=~-]|\.(?=[A-Za-z0-9])){{8,128}}+"
-          rf"|{KEY_START}[A-Za-z0-9_-]{{16,200}}+)")
+#: A labelled secret has a digit, which tells it from a word of prose. What most words lack,
+#: a sign behind them or the first two letters of a key, is looked for first.
+SECRET = (rf"(?:(?=[A-Za-z_-]{{3,16}}+[ \t]{{0,4}}[:=]){LABELLED}(?=[^0-9\s\"']{{0,127}}[0-9])(?:[A-Za-z0-9+/_=~-]|\.(?=[A-Za-z0-9])){{8,128}}+"
+          rf"|(?=[sprgxnhA][kilhopyfKSI]){KEY_START}[A-Za-z0-9_-]{{16,200}}+)")
 HEX = "[0-9a-fA-F]{1,4}"
 
 
@@ -329,11 +330,16 @@ def pseudonymize(text: Column, key: str) -> Column:
     97, calendar, number ranges) are no personal data and stay. An IPv6 address written in
     two ways gets two pseudonyms. A null text stays null.
     """
+    def replaced(matches: Column) -> Column:
+        gaps = F.split(text, ANY, -1)
+        pairs = F.zip_with(F.slice(gaps, 1, F.size(gaps) - 1), matches,
+                           lambda gap, m: F.concat(gap, pseudonym(key, m)))
+        return F.concat(F.array_join(pairs, ""), F.element_at(gaps, -1))
+
+    # The matches are bound to a name, so a text without any is searched once and not split.
     matches = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    gaps = F.split(text, ANY, -1)
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(gaps) - 1), matches,
-                       lambda gap, m: F.concat(gap, pseudonym(key, m)))
-    return F.concat(F.array_join(pairs, ""), F.element_at(gaps, -1))
+    return F.element_at(F.transform(F.array(matches), lambda found: F.when(
+        F.size(found) == 0, text).otherwise(replaced(found))), 1)
 
 
 def pseudonymize_rows(docs: DataFrame, key: str) -> DataFrame:
