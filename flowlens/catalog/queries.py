@@ -427,6 +427,16 @@ def feed(spark, sf_dir, start: Callable[[DataFrame], StreamingQuery],
         start(file_lines(spark, f"{path}/*", True)).awaitTermination()
 
 
+def state_partitions(spark: SparkSession) -> int | None:
+    """Partitions of a stream's state: on a cluster as many as the session's shuffles have.
+
+    A local session leaves the choice to the stream.
+    """
+    if spark.sparkContext.master.startswith("local["):
+        return None
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def label_of_each_batch() -> Callable[[], str]:
     labels = iter(CUT_LABELS)
     return lambda: next(labels)
@@ -445,7 +455,8 @@ def stream_features_windowed(spark, sf_dir, cuts: list[str] = CUTS):
     """Day windows over several micro-batches; those closed when the input ends."""
     table, checkpoint = work_path(spark, "windowed"), work_path(spark, "checkpoint")
     feed(spark, sf_dir, lambda lines: capture_windows(
-        netflow_events(lines), table, checkpoint, DAY, available_now=True), cuts)
+        netflow_events(lines), table, checkpoint, DAY,
+        state_partitions=state_partitions(spark), available_now=True), cuts)
     return read_features(spark, table)
 
 
