@@ -481,7 +481,8 @@ def stream_score_windowed(spark, sf_dir, cuts: list[str] = CUTS):
     detector, _ = pinned_detector(spark, sf_dir)
     table, checkpoint = work_path(spark, "anomalies"), work_path(spark, "checkpoint")
     feed(spark, sf_dir, lambda lines: score_windows(
-        netflow_events(lines), detector, table, checkpoint, DAY, available_now=True), cuts)
+        netflow_events(lines), detector, table, checkpoint, DAY,
+        state_partitions=state_partitions(spark), available_now=True), cuts)
     return rounded_records(read_anomalies(spark, table))
 
 
