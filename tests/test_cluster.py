@@ -25,7 +25,8 @@ spark.stop()
 """
 
 
-@pytest.mark.parametrize("name", ["stream_features_windowed", "stream_score_windowed"])
+@pytest.mark.parametrize("name", ["stream_features_windowed", "stream_score_windowed",
+                                  "stream_windows_growing"])
 def test_stream_on_executors(spark, sf_dir, tmp_path, name):
     path = os.pathsep.join([str(REPO), os.environ.get("PYTHONPATH", "")])
     done = subprocess.run([sys.executable, "-c", RUN, name, sf_dir, str(tmp_path)], cwd=tmp_path,
