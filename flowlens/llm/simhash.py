@@ -147,8 +147,10 @@ def dealt(prints: DataFrame, half: int, task_variants: int,
         if not n_big:
             return [*levels, (bits, routed)]
         listed = F.broadcast(big) if n_big <= LISTED_PREFIXES else big
-        levels.append((bits, routed.join(listed, "dest", "left_anti")))
-        waiting = stored(routed.join(listed, "dest", "left_semi"), "split_prefixes")
+        marked = stored(routed.join(listed.withColumn("split", F.lit(True)), "dest", "left"),
+                        "routed")
+        levels.append((bits, marked.where("split IS NULL").drop("split")))
+        waiting = marked.where("split").drop("split")
         step = min(STEP_BITS, BITS - bits)
 
 

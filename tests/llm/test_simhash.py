@@ -142,6 +142,17 @@ def test_work_of_a_hot_cluster_is_proportional(spark):
     assert roots == 1
 
 
+def test_rows_of_a_split_level_are_made_once(spark):
+    """What stays and what is split further are read from one stored table, not made again."""
+    near = [5 ^ sum(1 << b for b in c) for n in range(3) for c in itertools.combinations(range(20), n)]
+    levels = dealt(spark.createDataFrame([(p,) for p in near], "fp bigint"), 2, 20_000)
+    assert len(levels) > 1
+    for _, rows in levels[:-1]:
+        assert "Generate" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    last = levels[-1][1]._jdf.queryExecution().optimizedPlan().toString()
+    assert last.count("Generate") == 1
+
+
 def test_chain_and_star_components(spark):
     chain = [(i, i + 1) for i in range(300)]
     star = [(1000, 1000 + i) for i in range(1, 200)]
